@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -43,3 +46,21 @@ def build_session(app: str = "sparkbrook", master: str | None = None, conf: dict
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes this package importable for Python workers that don't have it on their path."""
+    root = Path(__file__).resolve().parent
+    app = spark.sparkContext.applicationId
+    on_path = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if app in _shipped or str(root.parent) in on_path:
+        return
+    target = Path(tempfile.mkdtemp(prefix="sparkbrook-")) / "sparkbrook.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(target))
+    _shipped.add(app)
