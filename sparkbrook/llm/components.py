@@ -1,7 +1,8 @@
 """Connected components of a graph given as rows of links, without a driver-side copy.
 
 Large-star and small-star steps, each a pre-aggregated minimum per node joined back to the
-links, until nothing changes: O(log n) rounds in practice. Rounds are written to the
+links, until nothing changes or few enough links are left for one task to finish: O(log n)
+rounds in practice. Rounds are written to the
 shared folder, so the lineage stays short and a lost executor costs one round.
 """
 
@@ -13,6 +14,10 @@ from pyspark.sql import functions as F
 from sparkbrook.scratch import materialize
 
 
+#: What is left of the links at this size (1.6 MB) is finished by one task.
+SMALL = 100_000
+
+
 def _local_stars(batches):
     """Every partition's links as stars around the smallest node of each local component."""
     import pyarrow as pa
@@ -63,6 +68,9 @@ def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         if not mark[0]:
             break
+        if mark[0] <= SMALL:
+            stars = materialize(stars.coalesce(1).mapInArrow(_local_stars, "u long, v long"), "stars")
+            break
         # large star: neighbours above a node go to its smallest neighbour
         both = stars.unionByName(stars.selectExpr("v AS u", "u AS v"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) AS m")
