@@ -5,7 +5,8 @@ so a part file is the bytes of its records and nothing else); lost tasks are wri
 by the commit protocol. Of the records with one payload of at least ``min_revisit`` bytes
 the one with the smallest id is the response and the others are revisits without payload.
 
-Reading: whole archive files, parsed by the lengths that the records state.
+Reading: whole archive files, plain or gzip, parsed by the lengths that the records state;
+offsets count in the plain bytes.
 
 Index: every archive yields one locally sorted run of its captures. Runs are range
 partitioned by (URL key, timestamp, id), so that a hot host spreads over many partitions,
@@ -20,6 +21,8 @@ gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import gzip
+import hashlib
 import re
 from collections.abc import Iterator
 from urllib.parse import urlsplit
@@ -91,9 +94,9 @@ def _record(captured_at: str):
 
 
 def write_archives(pages: DataFrame, path: str, id_column: str = "page_id", html_column: str = "html", captured_at: str = "1970-01-01T00:00:00Z", min_revisit: int = 100, records_per_file: int = 5000) -> None:
-    """Archives of at most ``records_per_file`` records each below ``path``."""
+    """Gzip archives of at most ``records_per_file`` records each below ``path``."""
     marked = mark_revisits(pages, id_column, html_column, min_revisit)
-    marked.select(_record(captured_at).alias("value")).write.option("lineSep", "\x00").option("maxRecordsPerFile", records_per_file).text(path)
+    marked.select(_record(captured_at).alias("value")).write.option("lineSep", "\x00").option("maxRecordsPerFile", records_per_file).option("compression", "gzip").text(path)
 
 
 def parse_archive(data: bytes) -> Iterator[dict]:
@@ -192,8 +195,6 @@ def _number(urn: str | None) -> int | None:
 
 def _captures(archive: str, data: bytes) -> list[dict]:
     """One archive's captures as a sorted run; payloads that are there are checked against their digest."""
-    import hashlib
-
     run = []
     for r in parse_archive(data):
         f = r["fields"]
