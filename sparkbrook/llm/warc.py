@@ -228,7 +228,8 @@ def read_captures(spark: SparkSession, path: str) -> DataFrame:
     def parse(batches):
         for batch in batches:
             for name, content in zip(batch.column("path"), batch.column("content"), strict=True):
-                run = _captures(name.as_py(), content.as_py())
+                data = content.as_py()
+                run = _captures(name.as_py(), gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data)
                 for at in range(0, len(run), 5000):
                     yield pa.RecordBatch.from_pylist(run[at : at + 5000], schema=_arrow())
 
