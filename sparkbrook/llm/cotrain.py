@@ -65,16 +65,16 @@ class TextView:
         out[:_STATS] = (
             1.0,
             min(1.0, np.log1p(n) / 10),
-            len(_SYMBOL.findall(text)) / size,
-            len(_UPPER.findall(text)) / size,
-            len(_DIGIT.findall(text)) / size,
+            min(2.0, 10 * len(_SYMBOL.findall(text)) / size),
+            3 * len(_UPPER.findall(text)) / size,
+            5 * len(_DIGIT.findall(text)) / size,
             len(_STRONG.findall(text)) / max(1, n),
-            1 - len(set(words)) / n if n else 0,
+            3 * (1 - len(set(words)) / n) if n else 0,
             min(2.0, size / max(1, n) / 10),
             1 - len(set(lines)) / len(lines) if lines else 0,
             text.count("|") / max(1, n),
             float(n < 20),
-            sum(a == b for a, b in zip(words, words[1:])) / max(1, n),
+            3 * sum(a == b for a, b in zip(words, words[1:])) / max(1, n),
         )
         if n:
             new = set(words).difference(self.known)
@@ -97,7 +97,7 @@ def meta_view(source: str | None, lang: str | None, n_chars: int | None) -> np.n
     return out
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 1e-3, steps: int = 60) -> np.ndarray:
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 1e-3, steps: int = 150) -> np.ndarray:
     """Weights by accelerated gradient descent; the step comes from a bound of the curvature."""
     w = np.zeros(x.shape[1], np.float32)
     weight = np.ones(len(y)) if weight is None else weight
