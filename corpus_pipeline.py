@@ -19,11 +19,19 @@ LEAST_SCORE = 0.1
 BROADCAST_IDS = 1_000_000
 
 
+def _aside(docs: DataFrame, own: tuple[str, ...]):
+    """``docs`` with all columns but ``own`` under names that no operator uses, and the way back."""
+    names = {c: c if c in own else f"_column_{i}" for i, c in enumerate(docs.columns)}
+    there = docs.select([F.col(f"`{c}`").alias(names[c]) for c in docs.columns])
+    return there, lambda df: df.select([F.col(f"`{names[c]}`").alias(c) for c in docs.columns])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that fail the base rules or the likelihood ratio."""
     ship_package(spark)
     trusted = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1")
-    return rules.judge(docs, trusted).filter("kept").select([F.col(f"`{c}`") for c in docs.columns])
+    own, back = _aside(docs, ("doc_id", "text"))
+    return back(rules.judge(own, trusted).filter("kept"))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +39,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     profile = langid.Profile()
     names, prototypes = langid.train_prototypes(docs.filter(~langid.held_out()).select("doc_id", "text", "lang"), profile)
-    found = langid.identify(docs, names, prototypes, profile)
-    return found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select([F.col(f"`{c}`") for c in docs.columns])
+    own, back = _aside(docs, ("doc_id", "text"))
+    found = langid.identify(own, names, prototypes, profile)
+    return back(found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
