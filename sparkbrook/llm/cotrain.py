@@ -9,7 +9,7 @@ calibrated log-odds. Only the models, whose size is fixed, go to the workers, wh
 every document whole.
 
 Labels are taken from documents that a hash of the id picks, at most ``labelled`` of
-them, and the pool has at most ``pool``. Without labels of both classes every document
+them, and the pool has at most ``pool``; rows that share an id count once there. Without labels of both classes every document
 scores the share of good labels (0.5 without any). Null or empty text has the statistics
 of no words; null metadata is a value of its own; repeated rows score alike; an empty
 table gives an empty result.
@@ -183,11 +183,13 @@ def train(docs: DataFrame, labels: DataFrame, how: CoTraining = CoTraining()) ->
     labelled = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
     draw = F.xxhash64(F.lit(how.seed), "doc_id")
     some = labelled.orderBy(draw, "doc_id").limit(how.labelled)
-    free = docs.select("doc_id").filter("doc_id IS NOT NULL").orderBy(draw, "doc_id").limit(how.pool + how.labelled)
+    free = docs.select("doc_id").filter("doc_id IS NOT NULL").orderBy(draw, "doc_id").limit(how.pool + how.labelled).distinct()
     free = free.join(F.broadcast(some), "doc_id", "left_anti").limit(how.pool).withColumn("quality", F.lit(None).cast("int"))
     ids = some.unionByName(free)
     rows = docs.select("doc_id", "text", *_meta_columns(docs)).join(F.broadcast(ids), "doc_id")
-    found = rows.mapInArrow(_features(how), "doc_id long, quality int, t binary, m binary").collect()
+    features = rows.mapInArrow(_features(how), "doc_id long, quality int, t binary, m binary")
+    # one row per id, reduced before the exchange: rows that repeat an id never reach the driver
+    found = features.groupBy("doc_id", "quality").agg(F.min(F.struct("t", "m")).alias("_least")).select("doc_id", "quality", "_least.*").collect()
     found.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"], bytes(r["t"])))
     unpack = lambda part: (
         np.stack([np.frombuffer(zlib.decompress(bytes(r["t"])), "<f4") for r in part]) if part else np.empty((0, _STATS + how.cells), np.float32),

@@ -99,3 +99,12 @@ def test_pipeline_stage_by_stage(spark):
 @pytest.mark.parametrize("name", sorted(catalog.oracles()))
 def test_query_equals_sql(spark, name):
     assert spark_rows(catalog.queries()[name](spark, SF)) == sql_rows(catalog.oracles()[name], SF)
+
+
+def test_cotraining_counts_repeated_ids_once(spark):
+    rows = [(i, "plain words in quiet order for us" if i % 3 else "BUY $$$ NOW !!!", "en", "s", 20) for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(48)], "doc_id long, quality int")
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    once, often = (cotrain.train(spark.createDataFrame(r, schema), labels) for r in (rows, rows + rows[:1] * 200))
+    for part in ("text", "meta", "platt", "mix"):
+        assert (getattr(once, part) == getattr(often, part)).all()
