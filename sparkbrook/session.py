@@ -50,9 +50,21 @@ def build_session(app: str = "sparkbrook", master: str | None = None, conf: dict
 
 _shipped: set[str] = set()
 
+#: Rows that a Python worker gets at once: whole texts, so a batch of Spark's default length may take gigabytes.
+ROWS_PER_BATCH = 1000
+_DEFAULT_ROWS = 10_000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Shortens the batches between the JVM and Python workers, unless the session sets another length than the default."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) == _DEFAULT_ROWS:
+        spark.conf.set(key, str(ROWS_PER_BATCH))
+
 
 def ship_package(spark: SparkSession) -> None:
-    """Makes this package importable for Python workers that don't have it on their path."""
+    """Makes this package importable for Python workers that don't have it on their path, and bounds what they are given at once."""
+    bound_batches(spark)
     root = Path(__file__).resolve().parent
     app = spark.sparkContext.applicationId
     on_path = os.environ.get("PYTHONPATH", "").split(os.pathsep)
