@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 UNKNOWN = "und"
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 _ROWS = 256
-_CHARS = 1_500_000
+_CHARS = 400_000
 
 
 @dataclass(frozen=True)
