@@ -61,6 +61,19 @@ def _keyed(batches):
         yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(lengths, pa.int32()), pa.array(keys, pa.binary()), pa.array(packed, pa.binary())], names=["vec_id", "d", "key", "vector"])
 
 
+def _longer(batches, rows: int = 10_000, size: int = 64 << 20):
+    """Consecutive batches as one, up to bounds of rows and bytes: products gain from length."""
+    held, n, taken = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        n, taken = n + batch.num_rows, taken + batch.nbytes
+        if n >= rows or taken >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n, taken = [], 0, 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _units(packed: list[bytes], d: int) -> np.ndarray:
     x = np.frombuffer(b"".join(packed), "<f8").reshape(-1, d)
     x = x / np.abs(x).max(1, keepdims=True)
@@ -148,7 +161,7 @@ def _products(d: int, threshold: float):
             links, sums = [], {}
             return pa.RecordBatch.from_arrays([pa.array([int(r[i]) for r in rows], pa.int64()) for i in range(3)], names=["a", "b", "n"])
 
-        for batch in batches:
+        for batch in _longer(batches):
             cell, block, visitor = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "block", "visitor"))
             marks = np.flatnonzero(np.diff(cell) | np.diff(block) | np.diff(visitor)) + 1 if len(cell) else []
             for lo, hi in zip([0, *marks], [*marks, len(cell)], strict=True):
@@ -202,7 +215,7 @@ def near_vectors(rows: DataFrame, cells: Cells = Cells(), id_column: str = "vec_
         centroids = fit_cells(sample, min(k, len(sample)), cells)
 
         def home(batches, d=d, centroids=centroids):
-            for batch in batches:
+            for batch in _longer(batches):
                 if batch.num_rows:
                     where, _ = visits(_units(batch.column("vector").to_pylist(), d), centroids, cells)
                     yield pa.RecordBatch.from_arrays([pa.array(where.astype(np.int32))], names=["cell"])
@@ -211,7 +224,7 @@ def near_vectors(rows: DataFrame, cells: Cells = Cells(), id_column: str = "vec_
         blocks = {r["cell"]: -(-r["count"] // cells.block) for r in sizes}
 
         def dealt(batches, d=d, centroids=centroids, blocks=blocks):
-            for batch in batches:
+            for batch in _longer(batches):
                 if not batch.num_rows:
                     continue
                 where, may = visits(_units(batch.column("vector").to_pylist(), d), centroids, cells)
