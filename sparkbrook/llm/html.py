@@ -3,11 +3,14 @@
 A page becomes a sequence of text blocks, each with its root-to-leaf path of block-level
 tags (and class names). Per path, text length and punctuation are summed over its blocks
 and divided by their number; the two ratios of the block sequence are smoothed with a
-Gaussian, fused by their geometric mean and thresholded at a share of their spread. Paths
-that pass are content. The container that holds most of the content mass then admits its
-remaining blocks, so that headings, list items and one-word paragraphs of the article
-stay, while blocks below navigation, header, footer, aside, form and similar elements, or
-below classes and ids that name such parts, never count.
+Gaussian and fused by their geometric mean. The fused ratio, with and without smoothing,
+times the evidence of tags and names is the path's score: a path below an <article> or
+<main> counts more; one below navigation, header, footer, aside, form and similar
+elements, or below classes and ids that name such parts, counts a tenth; one whose text is
+mostly links counts nothing. Paths whose score passes a share of the scores' spread are content. In the
+container that holds most of the content mass, the text that belongs to it stays as well:
+paths that miss the threshold by little, a heading before content, and list items, table
+cells and the like between content.
 
 White space inside a block becomes one space, blocks are joined by one newline in page
 order. Null or empty html gives an empty text, and so does a page without content;
@@ -36,6 +39,13 @@ NOT_CONTENT = frozenset("nav header footer aside form menu dialog fieldset head"
 CLOSED_BY_BLOCK = frozenset(["p"])
 CLOSED_BY_SAME = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"), "td": ("tr",), "th": ("tr",), "option": ("select",)}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Short text of these elements belongs to the content around it.
+ENCLOSED = HEADINGS | frozenset("li dt dd td th caption figcaption pre blockquote".split())
+
+#: What the evidence multiplies a score with.
+MARKED, BARRED = 1.5, 0.1
+#: Share of the threshold that suffices in the container.
+NEAR = 0.5
 
 #: Words of class names and ids that mark parts other than the article.
 PARTS = frozenset(
@@ -192,52 +202,68 @@ def _smoothed(values: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(np.pad(values, radius, mode="edge"), kernel / kernel.sum(), mode="valid")
 
 
-def path_scores(blocks: list[Block], sigma: float = 1.0) -> dict[tuple[str, ...], float]:
-    """Fused and smoothed text and punctuation ratio of each path."""
-    sums: dict[tuple[str, ...], list[float]] = {}
+def _key(b: Block) -> tuple[tuple[str, ...], bool]:
+    return b.path, b.barred
+
+
+def _is_marked(path: tuple[str, ...]) -> bool:
+    return any(s.split(".")[0] in ("article", "main") for s in path)
+
+
+def path_scores(blocks: list[Block], sigma: float = 1.0) -> dict[tuple[tuple[str, ...], bool], float]:
+    """Score of each path, for barred and other blocks apart: text and punctuation ratio, fused, times the evidence."""
+    sums: dict[tuple[tuple[str, ...], bool], list[float]] = {}
     for b in blocks:
-        s = sums.setdefault(b.path, [0.0, 0.0, 0.0])
+        s = sums.setdefault(_key(b), [0.0, 0.0, 0.0, 0.0])
         s[0] += max(0, len(b.text) - 2 * b.linked)
         s[1] += len(_PUNCTUATION.findall(b.text)) if b.linked * 2 < len(b.text) else 0
         s[2] += 1
-    text = _smoothed(np.array([sums[b.path][0] / sums[b.path][2] for b in blocks]), sigma)
-    marks = _smoothed(np.array([sums[b.path][1] / sums[b.path][2] for b in blocks]), sigma)
-    fused = np.sqrt(text * (marks + 0.25))
-    means: dict[tuple[str, ...], list[float]] = {}
-    for b, f in zip(blocks, fused, strict=True):
-        means.setdefault(b.path, []).append(float(f))
-    return {p: sum(v) / len(v) for p, v in means.items()}
+        s[3] += len(b.text) - 2 * b.linked
+    text = np.array([sums[_key(b)][0] / sums[_key(b)][2] for b in blocks])
+    marks = np.array([sums[_key(b)][1] / sums[_key(b)][2] for b in blocks])
+    own = np.sqrt(text * (marks + 0.25))
+    smooth = np.sqrt(_smoothed(text, sigma) * (_smoothed(marks, sigma) + 0.25))
+    means: dict[tuple[tuple[str, ...], bool], list[float]] = {}
+    for b, f in zip(blocks, np.sqrt(own * smooth), strict=True):
+        means.setdefault(_key(b), []).append(float(f))
+    evidence = lambda k: (MARKED if _is_marked(k[0]) else 1.0) * (BARRED if k[1] else 1.0) * (sums[k][3] > 0)
+    return {k: evidence(k) * sum(v) / len(v) for k, v in means.items()}
 
 
 def extract_text(page: str | None, share: float = 0.4) -> str:
     """The main text of one page. ``share``: of the mean plus spread of the path scores, from which a path is content."""
     if not page:
         return ""
-    blocks = [b for b in blocks_of(page) if not b.barred]
+    blocks = blocks_of(page)
     if not blocks:
         return ""
-    marked = [any(s.split(".")[0] in ("article", "main") for s in b.path) for b in blocks]
-    if any(marked):  # an article that the page itself marks holds all of the content
-        blocks = [b for b, m in zip(blocks, marked, strict=True) if m]
     scores = path_scores(blocks)
     values = np.array(list(scores.values()))
     limit = share * (values.mean() + values.std()) if len(values) > 1 else 0.0
-    content = {p for p, s in scores.items() if s >= limit and s > 0}
+    content = [scores[_key(b)] >= limit and scores[_key(b)] > 0 for b in blocks]
     mass: dict[tuple[str, ...], int] = {}
-    for b in blocks:
-        if b.path in content:
+    for b, c in zip(blocks, content, strict=True):
+        if c:
             mass[b.path[:-1]] = mass.get(b.path[:-1], 0) + len(b.text)
     if not mass:
-        return "\n".join(b.text for b in blocks) if any(marked) else ""
+        return ""
     total, container = sum(mass.values()), max(mass, key=lambda p: (mass[p], -len(p)))
     while len(container) > 2 and mass_below(mass, container) < 0.5 * total:
         container = container[:-1]
-    if any(marked):
-        at = next(i for i, s in enumerate(container) if s.split(".")[0] in ("article", "main")) if any(s.split(".")[0] in ("article", "main") for s in container) else 0
-        container = container[: at + 1]
-    inside = lambda p: p[: len(container)] == container
-    kept = [b for b in blocks if b.path in content or inside(b.path) and (any(marked) or b.linked * 2 < len(b.text))]
-    return "\n".join(b.text for b in kept)
+    inside = [not b.barred and b.path[: len(container)] == container and b.linked * 2 < len(b.text) for b in blocks]
+    first = next((i for i, (c, o) in enumerate(zip(content, inside, strict=True)) if c and o), len(blocks))
+    last = next((i for i in reversed(range(len(blocks))) if content[i] and inside[i]), -1)
+    kept = []
+    before = False  # whether the next block is kept
+    for i in reversed(range(len(blocks))):
+        b, keep = blocks[i], content[i]
+        if not keep and inside[i]:
+            tag = b.path[-1].split(".")[0] if b.path else ""
+            keep = scores[_key(b)] >= NEAR * limit or tag in ENCLOSED and first < i < last or tag in HEADINGS and before
+        before = keep
+        if keep:
+            kept.append(b.text)
+    return "\n".join(reversed(kept))
 
 
 def mass_below(mass: dict[tuple[str, ...], int], prefix: tuple[str, ...]) -> int:

@@ -274,6 +274,18 @@ def test_article_without_article_element():
     assert found[0] == "Title" and found[-1] == "Short." and len(found) == 10
 
 
+STORY = "".join(f"<p>Sentence {i} of the story, with a clause, and another one that goes on. It continues; it ends, at last.</p>" for i in range(8))
+SENTENCES = [p.removesuffix("</p>") for p in STORY.split("<p>")[1:]]
+
+
+def test_scores_select_inside_of_marked_elements():
+    menu = "<div><a href=1>One</a> <a href=2>Two</a></div><ul><li><a href=1>A link</a><li><a href=2>B link</a></ul>"
+    listed = "<ul><li>flour<li>two eggs</ul>"
+    for tag in ("main", "article"):
+        page = f"<body><{tag}>{menu}<h1>Title</h1>{STORY}{listed}{STORY}<div>Sign up to our list</div>{menu}</{tag}></body>"
+        assert html.extract_text(page).split("\n") == ["Title", *SENTENCES, "flour", "two eggs", *SENTENCES]
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "</p></div>", "<script>", "<!-- open", "<a <b>", "&amp", "<p x='y>z"])
 def test_broken_pages_do_not_fail(page):
     assert isinstance(html.extract_text(page), str)
