@@ -7,7 +7,8 @@ Gaussian and fused by their geometric mean. The fused ratio, with and without sm
 times the evidence of tags and names is the path's score: a path below an <article> or
 <main> counts more; one below navigation, header, footer, aside, form and similar
 elements, or below classes and ids that name such parts, counts a tenth; one whose text is
-mostly links counts nothing. Paths whose score passes a share of the scores' spread are content. In the
+mostly links counts nothing. A wrapper that holds most of the page's text is no evidence
+against it. Paths whose score passes a share of the scores' spread are content. In the
 container that holds most of the content mass, the text that belongs to it stays as well:
 paths that miss the threshold by little, a heading before content, and list items, table
 cells and the like between content.
@@ -73,6 +74,7 @@ class Block:
     text: str
     linked: int
     barred: bool
+    bars: tuple[int, ...] = ()  # the elements above that speak against it, by number; negative: by their tag
 
 
 def _marks(attributes: str) -> tuple[str, bool]:
@@ -101,8 +103,9 @@ def _closing(tag: str) -> re.Pattern:
 def blocks_of(page: str) -> list[Block]:
     """The page's text blocks in order. Missing end tags are implied, stray ones are ignored."""
     found: list[Block] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, step of the path, barred so far
+    stack: list[tuple[str, str, tuple[int, ...]]] = []  # tag, step of the path, numbers of the barring elements so far
     parts: list[str] = []
+    bar_count = 0
     linked = in_link = 0
 
     def flush() -> None:
@@ -111,11 +114,13 @@ def blocks_of(page: str) -> list[Block]:
             raw = "".join(parts)
             text = " ".join((entities.unescape(raw) if "&" in raw else raw).split())
             if text:
-                found.append(Block(tuple(s for _, s, _ in stack), text, min(linked, len(text)), bool(stack) and stack[-1][2]))
+                bars = stack[-1][2] if stack else ()
+                found.append(Block(tuple(s for _, s, _ in stack), text, min(linked, len(text)), bool(bars), bars))
             parts.clear()
         linked = 0
 
     def open_(tag: str, attributes: str) -> None:
+        nonlocal bar_count
         if tag not in INLINE:
             if tag in CLOSED_BY_SAME:
                 stop = CLOSED_BY_SAME[tag]
@@ -129,11 +134,14 @@ def blocks_of(page: str) -> list[Block]:
             if stack and stack[-1][0] in CLOSED_BY_BLOCK:
                 stack.pop()
         name, barred = _marks(attributes) if "=" in attributes or "hidden" in attributes else ("", False)
-        above = stack[-1][2] if stack else False
+        above = stack[-1][2] if stack else ()
         bars = tag in NOT_CONTENT or barred and tag not in ("html", "body", "article", "main")
         if tag in ("article", "main") and barred:
             bars = any(t in ("article", "main") for t, _, _ in stack) or _names_comment(attributes)
-        stack.append((tag, f"{tag}.{name}" if name else tag, above or bars))
+        if bars:
+            bar_count += 1
+            above = (*above, -bar_count if tag in NOT_CONTENT and tag not in ("form", "fieldset") else bar_count)
+        stack.append((tag, f"{tag}.{name}" if name else tag, above))
 
     at, end = 0, len(page)
     while at < end:
@@ -189,7 +197,34 @@ def blocks_of(page: str) -> list[Block]:
             in_link = 0
             open_(tag, attributes)
     flush()
-    return found
+    return _without_wrappers(found)
+
+
+def _without_wrappers(blocks: list[Block]) -> list[Block]:
+    """Frees the blocks of barring elements that wrap the page.
+
+    Such an element holds more than half of the text, and holds the page's h1 or main or,
+    if its name or a form makes it barring, leaves hardly any text outside of it.
+    """
+    mass: dict[int, int] = {}
+    leading: set[int] = set()
+    for b in blocks:
+        steps = [s.split(".")[0] for s in b.path] if b.bars else ()
+        for n in b.bars:
+            mass[n] = mass.get(n, 0) + len(b.text) - b.linked
+            if "h1" in steps or "main" in steps:
+                leading.add(n)
+    total = sum(len(b.text) - b.linked for b in blocks)
+    rest = [b for b in blocks if not b.bars]
+    free = sum(len(b.text) - b.linked for b in rest)
+    # a marked article needs no other text beside it, however short it is against its comments
+    free *= 20 if any(_is_marked(b.path) or b.path[-1:] and b.path[-1].split(".")[0] == "h1" for b in rest) else 5
+    wrappers = {n for n, m in mass.items() if 2 * m > total and (n in leading or n > 0 and free < total)}
+    if wrappers:
+        for b in blocks:
+            b.bars = tuple(n for n in b.bars if n not in wrappers)
+            b.barred = bool(b.bars)
+    return blocks
 
 
 def _names_comment(attributes: str) -> bool:

@@ -286,6 +286,25 @@ def test_scores_select_inside_of_marked_elements():
         assert html.extract_text(page).split("\n") == ["Title", *SENTENCES, "flour", "two eggs", *SENTENCES]
 
 
+def test_unmarked_story_beside_marked_card():
+    page = f"<body><div id=content><h1>Title</h1>{STORY}</div><article><h3>Card</h3><p>Read it now</p></article></body>"
+    assert html.extract_text(page).split("\n")[:9] == ["Title", *SENTENCES]
+
+
+@pytest.mark.parametrize("wrapper", ["div class='layout has-sidebar'", "div class='comments-open'", "div id='no-ads'", "form action=x"])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_wrappers_bar_nothing(wrapper, tag):
+    parts = "<nav><a href=1>x</a></nav>", "<div class=sidebar><p>Popular, very popular, text.</p></div><footer>&copy; 2020, all rights.</footer>"
+    page = f"<body><{wrapper}>{parts[0]}<{tag}><h1>Title</h1>{STORY}</{tag}>{parts[1]}</{wrapper.split()[0]}></body>"
+    assert html.extract_text(page).split("\n") == ["Title", *SENTENCES]
+
+
+def test_parts_that_hold_most_of_the_text_stay_out():
+    comments = STORY.replace("story", "comment") * 4
+    assert html.extract_text(f"<body><article><h1>Title</h1>{STORY}</article><section id=comments>{comments}</section></body>").split("\n") == ["Title", *SENTENCES]
+    assert html.extract_text("<body><article><h1>A b.</h1><p>A b.</p></article><footer>&copy; A long line of the footer, with marks, and more of it than of the article.</footer></body>") == "A b.\nA b."
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "</p></div>", "<script>", "<!-- open", "<a <b>", "&amp", "<p x='y>z"])
 def test_broken_pages_do_not_fail(page):
     assert isinstance(html.extract_text(page), str)
