@@ -31,7 +31,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     ship_package(spark)
     trusted = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1")
     own, back = _aside(docs, ("doc_id", "text"))
-    return back(rules.judge(own, trusted).filter("kept"))
+    return back(rules.judge(own, trusted, rules.PAIRS).filter("kept"))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

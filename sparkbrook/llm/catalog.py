@@ -51,7 +51,7 @@ def op6_byte_prefix_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_likelihood_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = _table(spark, sf_dir, "labels").filter("quality = 1")
-    judged = rules.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"), trusted)
+    judged = rules.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"), trusted, rules.PAIRS)
     return judged.drop("text")
 
 

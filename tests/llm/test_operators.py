@@ -225,6 +225,35 @@ def test_rules_equal_brute_force(spark):
         assert r["kept"] == (not r["base_failed"] and r["llr"] >= how.threshold)
 
 
+def test_ratio_counts_whole_words_and_pairs(spark):
+    rng = random.Random(7)
+    rows = [(i, " ".join(rng.choice(["nation", "station", "was", "is", "öl", "a"]) for _ in range(rng.randint(0, 40)))) for i in range(60)] + [(60, None), (61, "nation")]
+    how = rules.PAIRS
+    words = sorted({w for _, t in rows for w in (t or "").split()})
+    hashed = {w: f"xxhash64('{w}')" for w in words}
+    cell = {(w,): h for w, h in spark.sql("SELECT inline(array(" + ", ".join(f"struct('{w}', pmod({h}, {how.buckets}))" for w, h in hashed.items()) + "))").collect()}
+    pairs = [(a, b) for a in words for b in words]
+    cell |= {(a, b): h for a, b, h in spark.sql("SELECT inline(array(" + ", ".join(f"struct('{a}', '{b}', pmod(xxhash64({hashed[a]}, {hashed[b]}), {how.buckets}))" for a, b in pairs) + "))").collect()}
+    grams = {i: [cell[g] for w in [(t or "").split()] for g in [*((x,) for x in w), *zip(w, w[1:])]] for i, t in rows}
+    raw, target = Counter(c for v in grams.values() for c in v), Counter(c for i in range(20) for c in grams[i])
+    n, m = sum(raw.values()), sum(target.values())
+    found = rules.judge(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i,) for i in range(20)], "doc_id long"), how).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        values = [np.log((target[c] + how.prior) / (raw[c] * m / n + how.prior)) for c in grams[r["doc_id"]]]
+        assert abs(r["llr"] - (sum(values) / len(values) if values else 0)) < 2e-6
+
+
+def test_query_sees_words_and_their_order(spark, tmp_path):
+    good, plain = [f"{x}ing" for x in "abcdefghijklmnopqrstuvwxyz"], " ".join(f"{x}ing" for x in "abcdefghijklmnopqrstuvwxyz")
+    shuffled, other = " ".join(good[::-1]), " ".join(f"{w[0] * 3}ing" for w in good)
+    docs = [(i, plain) for i in range(40)] + [(i, shuffled) for i in range(40, 80)] + [(i, other) for i in range(80, 120)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    llr = {r["doc_id"]: r["llr"] for r in catalog.op7_likelihood_ratio_rules(spark, str(tmp_path)).collect()}
+    assert llr[0] > llr[40] + 0.1 and llr[40] > llr[80] + 0.1
+
+
 def test_rules_separate_labelled_documents(spark):
     found = catalog.op7_likelihood_ratio_rules(spark, "/root/testdata/sf0.01").toPandas()
     both = found.merge(spark.read.parquet("/root/testdata/sf0.01/labels.parquet").toPandas(), on="doc_id")
