@@ -45,11 +45,24 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near-duplicates (five words, 0.8)."""
+    """Keeps the document with the smallest id of each group of near-duplicates (five words, 0.8).
+
+    Rows are compared by a number of their own, so rows that share an id, or have none, are
+    documents like any other; a null id comes after all others.
+    """
     ship_package(spark)
-    dropped = materialize(neardup.near_duplicates(docs).filter(~F.col("kept")).select("doc_id"), "dropped")
+    own, back = _aside(docs, ("doc_id", "text"))
+    rows = materialize(own.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    near = neardup.near_duplicates(rows.select("_row", "text"), id_column="_row").select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
+    near = materialize(near, "near")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_row").alias("row"))
+    firsts = near.join(rows.select("_row", "doc_id"), "_row").groupBy("_group").agg(F.min(order)["row"].alias("_first"))
+    # groups are named by their smallest row; where another row has the smallest id, the two change places
+    moved = materialize(firsts.filter("_first <> _group"), "moved")
+    others = near.filter("_row <> _group").select("_row").join(moved.select(F.col("_first").alias("_row")), "_row", "left_anti")
+    dropped = materialize(others.unionByName(moved.select(F.col("_group").alias("_row"))), "dropped")
     few = dropped.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(dropped) if few else dropped, "doc_id", "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
+    return back(rows.join(F.broadcast(dropped) if few else dropped, "_row", "left_anti"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

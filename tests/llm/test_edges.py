@@ -96,6 +96,16 @@ def test_pipeline_stage_by_stage(spark):
     assert set(packed.doc_id) <= left and packed.groupby("sequence_id").length.sum().max() <= 2048
 
 
+def test_near_dedup_keeps_one_row_of_repeated_and_null_ids(spark):
+    texts = [" ".join(f"{t}{i}" for i in range(30)) for t in "abcd"]
+    rows = [(5, texts[0]), (5, texts[0]), (None, texts[0]), (None, texts[1]), (None, texts[1]), (9, texts[2]), (7, texts[3]), (7, texts[2]), (None, None), (None, None), (4, "")]
+    for part in (1, 4):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(part)
+        left = corpus_pipeline.near_dedup(spark, docs, SF).collect()
+        want = [(5, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (None, None), (None, None), (4, "")]
+        assert sorted(map(str, map(tuple, left))) == sorted(map(str, want))
+
+
 @pytest.mark.parametrize("name", sorted(catalog.oracles()))
 def test_query_equals_sql(spark, name):
     assert spark_rows(catalog.queries()[name](spark, SF)) == sql_rows(catalog.oracles()[name], SF)
