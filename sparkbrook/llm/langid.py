@@ -24,6 +24,7 @@ UNKNOWN = "und"
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 _ROWS = 256
 _CHARS = 400_000
+_OPEN = 500
 
 
 @dataclass(frozen=True)
@@ -34,7 +35,6 @@ class Profile:
     n: int = 3
     seed: int = 7
     per_language: int = 1500
-    max_languages: int = 500
 
 
 def letters_only(text: str) -> str:
@@ -130,7 +130,7 @@ def train_prototypes(labelled: DataFrame, profile: Profile = Profile()) -> tuple
     """
     spark = labelled.sparkSession
     usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(profile.max_languages).collect()
+    counts = usable.groupBy("lang").count().collect()
     if not counts:
         return [], np.empty((0, profile.dimensions), np.float32)
     names = sorted(r["lang"] for r in counts)
@@ -138,6 +138,11 @@ def train_prototypes(labelled: DataFrame, profile: Profile = Profile()) -> tuple
     draw = F.pmod(F.xxhash64(F.lit(profile.seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     sample = usable.join(F.broadcast(shares), "lang").filter(draw < F.col("share")).select("lang", "text")
 
+    def rows_of(sums):
+        for lang, v in sums.items():
+            whole = np.rint(v * 2**20).astype(np.int64)  # whole numbers: the sum has no order
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(whole)), pa.array(range(len(whole)), pa.int32()), pa.array(whole)], names=["lang", "d", "v"])
+
     def bundle(batches):
         encoder, sums = Encoder(profile), {}
         for batch in batches:
@@ -149,16 +154,19 @@ def train_prototypes(labelled: DataFrame, profile: Profile = Profile()) -> tuple
                 for lang in set(langs[a:b]):
                     part = v[[i for i, x in enumerate(langs[a:b]) if x == lang]].sum(0, dtype=np.float64)
                     sums[lang] = sums.get(lang, 0) + part
-        for lang, v in sums.items():
-            whole = np.rint(v * 2**20).astype(np.int64)  # whole numbers: the sum has no order
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(whole)), pa.array(range(len(whole)), pa.int32()), pa.array(whole)], names=["lang", "d", "v"])
-
-    sums = sample.mapInArrow(bundle, "lang string, d int, v long").groupBy("lang", "d").agg(F.sum("v").alias("v")).collect()
-    table = np.zeros((len(names), profile.dimensions))
-    for lang, d, v in sums:
-        table[names.index(lang), d] = v
-    size = np.linalg.norm(table, axis=1, keepdims=True)
-    return names, (table / np.where(size > 0, size, 1)).astype(np.float32)
+                if len(sums) > _OPEN:  # bounded memory: what is known goes out, and is forgotten
+                    yield from rows_of(sums)
+                    sums.clear()
+        yield from rows_of(sums)
+
+    sums = sample.mapInArrow(bundle, "lang string, d int, v long").groupBy("lang", "d").agg(F.sum("v").alias("v"))
+    sums = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("d", "v")))["v"].alias("v")).toArrow()
+    table, places = np.zeros((len(names), profile.dimensions), np.float32), {name: i for i, name in enumerate(names)}
+    for batch in sums.to_batches():
+        rows = batch.column("v").flatten().to_numpy().reshape(-1, profile.dimensions).astype(float)
+        size = np.linalg.norm(rows, axis=1, keepdims=True)
+        table[[places[lang] for lang in batch.column("lang").to_pylist()]] = rows / np.where(size > 0, size, 1)
+    return names, table
 
 
 def identify(docs: DataFrame, names: list[str], prototypes: np.ndarray, profile: Profile = Profile(), text_column: str = "text") -> DataFrame:

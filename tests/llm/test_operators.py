@@ -143,6 +143,16 @@ def test_held_out_accuracy(spark):
     assert all((zlib.crc32(str(i).encode()) % 4 == 2) == h for i, h in zip(found.doc_id, found.held_out))
 
 
+def test_every_language_can_be_predicted(spark):
+    rng = random.Random(4)
+    words = {f"l{i:03}": "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(12)) for i in range(600)}
+    docs = spark.createDataFrame([(i, f"{w} {w}", lang) for i, (lang, w) in enumerate(words.items())], "doc_id long, text string, lang string")
+    profile = langid.Profile(dimensions=256)
+    names, prototypes = langid.train_prototypes(docs, profile)
+    assert names == sorted(words)
+    assert all(r["lang"] == r["lang_pred"] for r in langid.identify(docs, names, prototypes, profile).collect())
+
+
 # --- WARC -------------------------------------------------------------------------------
 def test_loser_tree_merges_sorted_runs():
     rng = random.Random(5)
