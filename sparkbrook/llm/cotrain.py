@@ -2,14 +2,16 @@
 
 Two views of a document: what its text looks like (surface statistics and hashed words)
 and what is known about it (source, language, length). Each view has a logistic model.
-In every round each model labels the bounded pool of unlabelled documents that it is most
+In every round each model scores all unlabelled documents, labels those that it is most
 sure of, and the other model learns from those labels. The labelled documents that
 training leaves out calibrate both models (Platt scaling) and fit the weights of the two
 calibrated log-odds. Only the models, whose size is fixed, go to the workers, which score
 every document whole.
 
 Labels are taken from documents that a hash of the id picks, at most ``labelled`` of
-them, and the pool has at most ``pool``; rows that share an id count once there. Without labels of both classes every document
+them. Features are computed once and written; in a round every task returns the surest
+documents of its rows, of which the surest of all are taken, ``per_round`` a teacher, by
+the share of each class. Rows that share an id count once. Without labels of both classes every document
 scores the share of good labels (0.5 without any). Null or empty text has the statistics
 of no words; null metadata is a value of its own; repeated rows score alike; an empty
 table gives an empty result.
@@ -23,14 +25,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkbrook.scratch import materialize
+
 
 @dataclass(frozen=True)
 class CoTraining:
     labelled: int = 4000
-    pool: int = 4000
     rounds: int = 4
     per_round: int = 200
     sure: float = 0.9
@@ -49,7 +52,7 @@ _STRONG = re.compile(r"[!?]")
 
 
 class TextView:
-    """Surface statistics, then the square-rooted shares of hashed word endings."""
+    """Surface statistics, then the square-rooted shares of hashed words."""
 
     LIMIT = 400_000
 
@@ -83,7 +86,7 @@ class TextView:
                     self.known.clear()
                     new = set(words)
                 for w in new:
-                    self.known[w] = zlib.crc32(w[-3:].encode("utf-8", "surrogatepass")) % self.cells
+                    self.known[w] = zlib.crc32(w.encode("utf-8", "surrogatepass")) % self.cells
             counts = np.bincount(np.fromiter(map(self.known.__getitem__, words), np.int64, n), minlength=self.cells)
             out[_STATS:] = np.sqrt(counts / n)
         return out
@@ -130,28 +133,33 @@ def _odds(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return np.clip(x @ w, -30, 30)
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray, how: CoTraining) -> Model:
-    """Fits both views; rows are in a fixed order, every fourth is kept for calibration."""
+def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pick, how: CoTraining) -> Model:
+    """Fits both views; rows are in a fixed order, every fourth is kept for calibration.
+
+    ``pick(weights, taken, quotas)``: the surest unlabelled documents that a learner has not
+    taken, as a list of (learner, label, id, text, meta) in a fixed order.
+    """
     prior = float(y.mean()) if len(y) else 0.5
     held = np.arange(len(y)) % 4 == 3
     if len(np.unique(y[~held])) < 2 or len(np.unique(y[held])) < 2:
         flat = np.zeros(2)
         return Model(np.zeros(text.shape[1]), np.zeros(meta.shape[1]), np.array([flat, flat]), np.zeros(3), prior)
     views = [[text[~held], y[~held].astype(float)], [meta[~held], y[~held].astype(float)]]
-    pools, free = [pool_text, pool_meta], [np.ones(len(pool_text), bool), np.ones(len(pool_text), bool)]
+    taken: list[set[int]] = [set(), set()]
     base = float(views[0][1].mean())
     for turn in range(how.rounds + 1):
         weights = [fit_logistic(x, t) for x, t in views]
-        if turn == how.rounds or not len(pool_text):
+        if turn == how.rounds:
             break
-        for teacher, learner in ((0, 1), (1, 0)):
-            p = 1 / (1 + np.exp(-_odds(pools[teacher], weights[teacher])))
-            for label, sure in ((1.0, p), (0.0, 1 - p)):
-                quota = max(1, round(how.per_round * (base if label else 1 - base)))
-                order = np.argsort(-np.where(free[learner], sure, -1), kind="stable")[:quota]
-                chosen = order[(sure[order] >= how.sure) & free[learner][order]]
-                free[learner][chosen] = False
-                views[learner] = [np.concatenate([views[learner][0], pools[learner][chosen]]), np.concatenate([views[learner][1], np.full(len(chosen), label)])]
+        quotas = [max(1, round(how.per_round * share)) for share in (1 - base, base)]
+        picked = pick(weights, taken, quotas)
+        if not picked:  # the weights stay as they are, and so would all later rounds
+            break
+        for learner in (0, 1):
+            new = [r for r in picked if r[0] == learner]
+            if new:
+                taken[learner].update(r[2] for r in new)
+                views[learner] = [np.concatenate([views[learner][0], np.stack([r[3 + learner] for r in new])]), np.concatenate([views[learner][1], [float(r[1]) for r in new]])]
     t = y[held].astype(float)
     odds = [_odds(text[held], weights[0]), _odds(meta[held], weights[1])]
     platt = np.array([fit_logistic(np.stack([o, np.ones_like(o)], 1), t, ridge=1e-4, steps=400) for o in odds])
@@ -177,26 +185,66 @@ def _features(how: CoTraining):
     return run
 
 
+def _unpacked(t: bytes, m: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(zlib.decompress(bytes(t)), "<f4"), np.frombuffer(bytes(m), "<f4")
+
+
+def _surest(weights: list[np.ndarray], taken: list[set[int]], quotas: list[int], how: CoTraining):
+    """The surest documents of a task's rows for each learner and label, each id once."""
+
+    def run(batches):
+        best: dict[tuple[int, int], dict] = {(learner, label): {} for learner in (0, 1) for label in (0, 1)}
+
+        def cut(found: dict, n: int) -> dict:
+            return dict(sorted(found.items(), key=lambda e: (-e[1][0], zlib.crc32(str(e[0]).encode()), e[0]))[:n])
+
+        for batch in batches:
+            ids, ts, ms = (batch.column(c).to_pylist() for c in ("doc_id", "t", "m"))
+            if not ids:
+                continue
+            views = [np.stack(x) for x in zip(*map(_unpacked, ts, ms), strict=True)]
+            for learner in (0, 1):
+                # rounded, so that the order does not depend on how rows are batched
+                odds = np.round(_odds(views[1 - learner].astype(float), weights[1 - learner].astype(float)), 6)
+                p = 1 / (1 + np.exp(-odds))
+                for label, sure in ((1, p), (0, 1 - p)):
+                    found = best[learner, label]
+                    for i in np.flatnonzero(sure >= how.sure).tolist():
+                        row = (float(sure[i]), ts[i], ms[i])
+                        if ids[i] not in taken[learner] and (ids[i] not in found or found[ids[i]] < row):
+                            found[ids[i]] = row
+                    if len(found) > quotas[label]:
+                        best[learner, label] = cut(found, quotas[label])
+        rows = [(learner, label, i, *row) for (learner, label), found in best.items() for i, row in found.items()]
+        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds)], names=["learner", "label", "doc_id", "sure", "t", "m"])
+
+    return run
+
+
 def train(docs: DataFrame, labels: DataFrame, how: CoTraining = CoTraining()) -> Model:
-    """The model from a bounded sample: ids are drawn first, then only their texts are read."""
-    spark = docs.sparkSession
+    """The model from a bounded sample of labelled documents and all unlabelled ones."""
     labelled = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
     draw = F.xxhash64(F.lit(how.seed), "doc_id")
     some = labelled.orderBy(draw, "doc_id").limit(how.labelled)
-    free = docs.select("doc_id").filter("doc_id IS NOT NULL").orderBy(draw, "doc_id").limit(how.pool + how.labelled).distinct()
-    free = free.join(F.broadcast(some), "doc_id", "left_anti").limit(how.pool).withColumn("quality", F.lit(None).cast("int"))
-    ids = some.unionByName(free)
-    rows = docs.select("doc_id", "text", *_meta_columns(docs)).join(F.broadcast(ids), "doc_id")
-    features = rows.mapInArrow(_features(how), "doc_id long, quality int, t binary, m binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *_meta_columns(docs)).filter("doc_id IS NOT NULL").join(F.broadcast(some), "doc_id", "left")
+    features = materialize(rows.mapInArrow(_features(how), "doc_id long, quality int, t binary, m binary"), "features")
     # one row per id, reduced before the exchange: rows that repeat an id never reach the driver
-    found = features.groupBy("doc_id", "quality").agg(F.min(F.struct("t", "m")).alias("_least")).select("doc_id", "quality", "_least.*").collect()
-    found.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"], bytes(r["t"])))
-    unpack = lambda part: (
-        np.stack([np.frombuffer(zlib.decompress(bytes(r["t"])), "<f4") for r in part]) if part else np.empty((0, _STATS + how.cells), np.float32),
-        np.stack([np.frombuffer(bytes(r["m"]), "<f4") for r in part]) if part else np.empty((0, _META), np.float32),
-    )
-    known, pool = [r for r in found if r["quality"] is not None], [r for r in found if r["quality"] is None]
-    return co_train(*unpack(known), np.array([r["quality"] for r in known], int), *unpack(pool), how)
+    known = features.filter("quality IS NOT NULL").groupBy("doc_id", "quality").agg(F.min(F.struct("t", "m")).alias("_least")).select("doc_id", "quality", "_least.*").collect()
+    known.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
+    free = features.filter("quality IS NULL").select("doc_id", "t", "m")
+
+    def pick(weights, taken, quotas):
+        each = free.mapInArrow(_surest(weights, taken, quotas, how), "learner int, label int, doc_id long, sure double, t binary, m binary")
+        each = each.groupBy("learner", "label", "doc_id").agg(F.max(F.struct("sure", "t", "m")).alias("_most")).select("learner", "label", "doc_id", "_most.*")
+        place = F.row_number().over(Window.partitionBy("learner", "label").orderBy(F.desc("sure"), F.crc32(F.col("doc_id").cast("string")), "doc_id"))
+        top = each.withColumn("place", place).filter(F.col("place") <= F.when(F.col("label") == 1, quotas[1]).otherwise(quotas[0])).filter(F.col("place") <= max(quotas)).collect()
+        top.sort(key=lambda r: (r["learner"], -r["label"], r["place"]))
+        return [(r["learner"], r["label"], r["doc_id"], *_unpacked(r["t"], r["m"])) for r in top]
+
+    unpacked = [_unpacked(r["t"], r["m"]) for r in known]
+    text, meta = (np.stack(x) for x in zip(*unpacked, strict=True)) if known else (np.empty((0, _STATS + how.cells), np.float32), np.empty((0, _META), np.float32))
+    return co_train(text, meta, np.array([r["quality"] for r in known], int), pick, how)
 
 
 def score(docs: DataFrame, model: Model, how: CoTraining = CoTraining()) -> DataFrame:

@@ -118,3 +118,15 @@ def test_cotraining_counts_repeated_ids_once(spark):
     once, often = (cotrain.train(spark.createDataFrame(r, schema), labels) for r in (rows, rows + rows[:1] * 200))
     for part in ("text", "meta", "platt", "mix"):
         assert (getattr(once, part) == getattr(often, part)).all()
+
+
+def test_cotraining_learns_from_every_unlabelled_document(spark):
+    texts = ["BUY $$$ NOW !!!", "plain words in quiet order for us", "other words in quiet order for us"]
+    rows = [(i, texts[min(1, i % 3)], "en", "s", 20) for i in range(60)] + [(i, texts[min(1, i % 3)], "en", "rare", 20) for i in range(60, 72)]
+    order = [r["id"] for r in spark.range(60, 72).selectExpr("id", f"xxhash64({cotrain.CoTraining().seed}, id) AS h").orderBy("h").collect()]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, la, "s" if i == order[0] else s, n) for i, t, la, s, n in rows for _ in range(9000 if i == order[0] else 1)], schema)
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)], "doc_id long, quality int")
+    model = cotrain.train(docs, labels)
+    with_rare, without = cotrain.meta_view("rare", "en", 20), cotrain.meta_view("s", "en", 20)
+    assert all(model.meta[(with_rare > without)] != 0)
