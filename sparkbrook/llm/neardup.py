@@ -14,14 +14,16 @@ returns links that span what it found, not all pairs, and skips pairs that are c
 already. Small groups are one tile. Large ones take two steps, whose rows grow with the
 group and not with its square:
 
-1. Every block of ``tile`` sets is compared in itself and with the first block. A dense
-   group of copies is settled by this, but for few outsiders.
+1. Every block of ``tile`` sets is compared in itself and with the first ``hubs`` blocks.
+   A dense group of copies is settled by this, but for few outsiders.
 2. Sets outside the group's largest component meet the others by prefix filtering: two
    sets at or above the threshold share one of the rarest shingles of either, in any
    order that all sets use alike. Sets that share only what the whole group shares, as a
-   notice or a licence, have no such shingle in common and never meet. Those that meet,
-   and whose sizes and one-bit sketches allow a link, go to tiles again. The order comes
-   from a table of ``cells`` counts, whose size is fixed.
+   notice or a licence, have no such shingle in common and never meet. Those that meet
+   over a shingle of at most ``meet`` sets, and whose sizes and one-bit sketches allow a
+   link, go to tiles again. A shingle that is among the rarest of more sets than that is
+   the mark of a dense group: all its sets go to tiles with the group's outsiders. The
+   order comes from a table of ``cells`` counts, whose size is fixed.
 
 Equal sets are one node from the start, so thousands of exact copies cost one. At J = 0.8
 a pair shares none of 42 bands of six with probability 3e-6, and at 0.85 with 1e-9.
@@ -68,6 +70,8 @@ class Similarity:
     rows: int = 6
     slack: float = 5.0
     tile: int = 64
+    hubs: int = 2
+    meet: int = 256
     tile_shingles: int = 2_000_000
     cells: int = 1 << 20
     broadcast_rows: int = 1_000_000
@@ -98,7 +102,7 @@ class Sketcher:
         self.mixers = rng.integers(0, 2**63, (how.bands, how.rows), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.order = np.argsort(rng.random((n, n)), 1)  # per register: where it borrows, first choice first
         self.borders = np.arange(n, dtype=np.uint64) << np.uint64(64 - how.bucket_bits)
-        self.coins = rng.integers(0, 2**63, n, dtype=np.uint64)
+        self.coins = rng.integers(0, 2**63, (2, n), dtype=np.uint64)
 
     def shingles(self, text: str | None) -> np.ndarray:
         """The sorted 64-bit hashes of the text's distinct shingles. A-Z are lower-cased, words are cut at ASCII white space."""
@@ -157,8 +161,8 @@ class Sketcher:
         return key.view(np.int64)
 
     def bits(self, filled: np.ndarray) -> bytes:
-        """One bit of each filled register: equal registers agree, others by the toss of a coin."""
-        x = (filled ^ self.coins) * _K1
+        """Two bits of each filled register: equal registers agree, others by the toss of a coin."""
+        x = (filled ^ self.coins).ravel() * _K1
         x ^= x >> np.uint64(32)
         return np.packbits((x * _K2 >> np.uint64(63)).astype(bool)).tobytes()
 
@@ -251,17 +255,23 @@ def _links_of_tile(left: list[tuple], right: list[tuple] | None, how: Similarity
         if not len(near):
             continue
         guess, used = estimate(a.registers[near], b.registers[j], a.sizes[near], b.sizes[j])
-        least = how.percent / 100 - how.slack * np.sqrt(0.16 / np.maximum(used, 1)) - 1e-9
-        for k in np.argsort(-guess, kind="stable"):
-            if guess[k] < least[k]:
-                continue
-            i = int(near[k])
-            if a.ids[i] == b.ids[j] or find(a.ids[i]) == find(b.ids[j]):
-                continue
-            common = len(np.intersect1d(a.sets[i], b.sets[j], assume_unique=True))
-            if 100 * common >= how.percent * (len(a.sets[i]) + len(b.sets[j]) - common):
-                parent[find(a.ids[i])] = find(b.ids[j])
-                yield a.ids[i], b.ids[j]
+        likely = guess >= how.percent / 100 - how.slack * np.sqrt(0.16 / np.maximum(used, 1)) - 1e-9
+        rest = near[likely][np.argsort(-guess[likely], kind="stable")].tolist()
+        tried = False  # the likeliest alone, for it often connects the others too; then what is left at once
+        while rest := [i for i in rest if a.ids[i] != b.ids[j] and find(a.ids[i]) != find(b.ids[j])]:
+            some, rest, tried = (rest, [], tried) if tried else (rest[:1], rest[1:], True)
+            for i in np.array(some)[_linked([a.sets[i] for i in some], b.sets[j], how.percent)].tolist():
+                if find(a.ids[i]) != find(b.ids[j]):
+                    parent[find(a.ids[i])] = find(b.ids[j])
+                    yield a.ids[i], b.ids[j]
+
+
+def _linked(sets: list[np.ndarray], other: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the sets share enough with ``other``, counted in full."""
+    sizes = np.array([len(s) for s in sets])
+    every = np.concatenate(sets)
+    common = np.add.reduceat(other[np.minimum(np.searchsorted(other, every), len(other) - 1)] == every, np.cumsum(sizes) - sizes, dtype=np.int64)
+    return 100 * common >= percent * (sizes + len(other) - common)
 
 
 def _compare(how: Similarity):
@@ -314,6 +324,9 @@ def _count_cells(how: Similarity):
     return run
 
 
+_MEMBER = ["sid", "grp", "component", "block", "part", "outside"]
+
+
 def _prefixes(how: Similarity, counts: np.ndarray):
     """A row for each of a set's rarest shingles that another set may have: one of them is in every set that it is linked to."""
 
@@ -341,11 +354,8 @@ def _prefixes(how: Similarity, counts: np.ndarray):
     return run
 
 
-_MEMBER = ["sid", "grp", "component", "block", "part", "outside"]
-
-
 def _meetings(how: Similarity):
-    """Places in tiles for sets that share a rare shingle and may be linked. Rows come sorted by (token, p, q)."""
+    """Places in tiles for sets that share a rare shingle and may be linked. Rows come sorted by token."""
 
     def tiles_of(rows: list[tuple]):
         sid, grp, component, block, part = (np.array([r[c] for r in rows], np.int64) for c in range(5))
@@ -368,15 +378,15 @@ def _meetings(how: Similarity):
     def run(batches):
         key, held, found = None, [], set()
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("token", "p", "q", "sid", "grp", "component", "block", "part", "outside", "n", "bits")]
-            for token, p, q, *row in zip(*columns, strict=True):
-                if key is not None and key != (token, p, q):
+            columns = [batch.column(c).to_pylist() for c in ("token", "sid", "grp", "component", "block", "part", "outside", "n", "bits")]
+            for token, *row in zip(*columns, strict=True):
+                if key is not None and key != token:
                     found.update(tiles_of(held) if len(held) > 1 else ())
                     held = []
                     if len(found) > 100_000:
                         yield out(found)
                         found.clear()
-                key = (token, p, q)
+                key = token
                 held.append(row)
         found.update(tiles_of(held) if len(held) > 1 else ())
         yield out(found)
@@ -384,10 +394,8 @@ def _meetings(how: Similarity):
     return run
 
 
-#: Share of one-bit sketches that agrees in linked sets, at least: 0.9 expected at J = 0.8, less over five standard errors.
-_AGREE = 0.75
-#: Sets that meet in one task over one shingle, a side.
-_MEET = 1024
+#: Share of the bits that agrees in linked sets, at least: 0.9 expected at J = 0.8, less five standard errors.
+_AGREE = 0.8
 
 
 def _outsiders(sets: DataFrame, large: DataFrame, links: DataFrame, how: Similarity, n: int, small: bool) -> DataFrame | None:
@@ -408,11 +416,16 @@ def _outsiders(sets: DataFrame, large: DataFrame, links: DataFrame, how: Similar
     schema = "token long, sid long, grp long, component long, block int, part int, outside boolean, n long, bits binary"
     keys = materialize(pool.mapInArrow(_prefixes(how, counts), schema), "prefixes")
     shared = keys.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high"), F.max("outside").alias("any"))
-    shared = shared.filter("low < high AND any").select("token", F.ceil(F.col("size") / _MEET).cast("int").alias("side"))
-    dealt = keys.join(shared, "token").withColumn("own", F.pmod(F.xxhash64(F.lit(2), "sid"), F.col("side")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("side") - 1))).withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other"))
-    dealt = dealt.drop("own", "other", "side").repartition(n, "token", "p", "q").sortWithinPartitions("token", "p", "q")
-    tiles = materialize(dealt.mapInArrow(_meetings(how), "grp long, p int, q int, side int, sid long").distinct(), "meetings")
+    shared = materialize(shared.filter("low < high AND any").select("token", (F.col("size") > how.meet).alias("often")), "shared")
+    meet = keys.join(shared.filter("NOT often").select("token"), "token").repartition(n, "token").sortWithinPartitions("token")
+    tiles = meet.mapInArrow(_meetings(how), "grp long, p int, q int, side int, sid long").distinct()
+    # sets of dense groups, in blocks of their own: outsiders at every block, and all at every part of the outsiders
+    dense = materialize(keys.join(shared.filter("often").select("token"), "token").select("sid", "grp", "outside").distinct(), "dense")
+    sizes = dense.groupBy("grp").agg(F.ceil(F.count_if("outside") / how.tile).cast("int").alias("parts"), F.ceil(F.count(F.lit(1)) / how.tile).cast("int").alias("blocks")).filter("parts > 0")
+    dense = dense.join(sizes, "grp").withColumn("part", F.pmod(F.xxhash64(F.lit(3), "sid"), F.col("parts")).cast("int")).withColumn("block", F.pmod(F.xxhash64(F.lit(4), "sid"), F.col("blocks")).cast("int"))
+    left = dense.filter("outside").selectExpr("grp", "-1 - part AS p", "explode(sequence(0, blocks - 1)) AS q", "0 AS side", "sid")
+    right = dense.selectExpr("sid", "grp", "block AS q", "explode(sequence(0, parts - 1)) AS part").selectExpr("grp", "-1 - part AS p", "q", "1 AS side", "sid")
+    tiles = materialize(tiles.unionByName(left).unionByName(right), "meetings")
     return materialize(_tiled(tiles.join(pool.select("sid", "component", "shingles"), "sid"), how, n), "more-links")
 
 
@@ -444,11 +457,12 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity(), id_column:
     if sets.count() > count:  # repeated rows in several tasks
         sets = materialize(sets.groupBy("sid", "grp", "block").agg(F.first("shingles").alias("shingles")), "sets")
 
-    # step 1: each block with itself, and with the group's block 0
+    # step 1: each block with itself, and with the group's first blocks
     blocks = materialize(blocks, "blocks")
     own = blocks.select("grp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("q"))
     diagonal = own.selectExpr("grp", "q AS p", "q", "0 AS side", "q AS block")
-    hub = own.filter("q > 0").selectExpr("grp", "0 AS p", "q", "inline(array(struct(0 AS side, 0 AS block), struct(1 AS side, q AS block)))")
+    hub = own.filter("q > 0").selectExpr("grp", f"explode(sequence(0, least(q, {how.hubs}) - 1)) AS p", "q")
+    hub = hub.selectExpr("grp", "p", "q", "inline(array(struct(0 AS side, p AS block), struct(1 AS side, q AS block)))")
     first = sets.withColumn("component", F.col("sid")).join(diagonal.unionByName(hub), ["grp", "block"])
     links = materialize(_tiled(first, how, n), "links")
 

@@ -368,7 +368,8 @@ def test_near_duplicates_equal_brute_force(spark, width):
             rows.append(" ".join(other))
     rows += [rows[0]] * 40 + [rows[0].upper(), None, "", " \n", "É x", "é x"]
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
-    found = {r["doc_id"]: r for r in neardup.near_duplicates(docs, neardup.Similarity(words=width, tile=32)).collect()}
+    how = [neardup.Similarity(words=width, tile=32), neardup.Similarity(words=width, tile=4, hubs=1, meet=6)][width % 2]
+    found = {r["doc_id"]: r for r in neardup.near_duplicates(docs, how).collect()}
     sets = [word_sets(t, width) for t in rows]
     links = [(i, j) for i in range(len(rows)) for j in range(i) if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
     want = components_of(range(len(rows)), links)
@@ -376,6 +377,54 @@ def test_near_duplicates_equal_brute_force(spark, width):
     assert {i: (r["n_shingles"], r["component_id"], r["kept"]) for i, r in found.items()} == {i: (len(sets[i]), want[i], want[i] == i) for i in range(len(rows))}
 
 
+def test_shared_notice_makes_no_pairs(spark, monkeypatch):
+    """Texts of one notice and own words: links are found, and the rows compared grow with the texts, not with their square."""
+    rng, seen, write = random.Random(12), {}, neardup.materialize
+
+    def kept(df, label):
+        seen[label] = write(df, label)
+        return seen[label]
+
+    monkeypatch.setattr(neardup, "materialize", kept)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    notice, met = [rng.choice(vocabulary) for _ in range(110)], {}
+    for size in (500, 1000):
+        seen.clear()
+        own = [[rng.choice(vocabulary) for _ in range(50)] for _ in range(size)]
+        for i in range(0, 40, 2):  # true links: four own words differ
+            own[i + 1] = own[i][:-4] + own[i + 1][-4:]
+        docs = spark.createDataFrame([(i, " ".join(notice + o)) for i, o in enumerate(own)], "doc_id long, text string")
+        found = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs).collect()}
+        assert found == {i: i - i % 2 if i < 40 else i for i in range(size)}
+        assert seen["groups"].count() > size / 2  # the notice alone makes one group of candidates
+        met[size] = seen["meetings"].count()
+    assert met[1000] < 300
+
+
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    texts = [" ".join(f"{t}{i}" for i in range(40)) for t in "abc"]
+    near = texts[0].replace("a39", "z")
+    rows = [(7, texts[0])] * 300 + [(7, texts[1]), (3, near), (9, texts[2]), (None, texts[2])]
+    found = Counter((r["doc_id"], r["component_id"], r["kept"]) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect())
+    assert found == {(7, 3, False): 300, (7, 7, True): 1, (3, 3, True): 1, (9, 9, True): 1, (None, None, True): 1}
+
+
+def test_registers_by_loops():
+    sketcher = neardup.Sketcher(neardup.Similarity())
+    for size in (1, 7, 300, 5000):
+        s = np.unique(np.random.default_rng(size).integers(0, 2**64, size, dtype=np.uint64))
+        least = {}
+        for x in s.tolist():
+            least[x >> 56] = min(least.get(x >> 56, 2**64), x << 8 & (2**64 - 1))
+        got = sketcher.registers(s)
+        for bucket in range(256):
+            if bucket not in least:
+                assert got[bucket] == 0xFFFF
+            else:
+                zeros = 64 - least[bucket].bit_length()
+                assert got[bucket] == zeros << 10 | (least[bucket] << (zeros + 1) & (2**64 - 1)) >> 54
+
+
 def test_estimate_is_near_jaccard():
     sketcher = neardup.Sketcher(neardup.Similarity())
     rng = np.random.default_rng(3)
