@@ -76,6 +76,26 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d.digest AS payload_digest,
  CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
  CASE WHEN first_id <> page_id THEN first_id END AS refers_to
 FROM d LEFT JOIN f ON d.digest = f.digest
+""",
+    "op8_spherical_kmeans_neardup": """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+ usable AS (SELECT vec_id, x FROM v WHERE x IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(x, lambda e: e <> 0)) > 0),
+ links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.95),
+ reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+ least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+ n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT v.vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN least ON least.a = v.vec_id LEFT JOIN n ON n.a = v.vec_id
+""",
+    "op10_hyperminhash_neardup": """
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t-\r]+'), lambda x: x <> '') AS words FROM documents),
+ s AS (SELECT doc_id, CASE WHEN len(words) < 2 THEN words ELSE list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) END AS shingles FROM w),
+ e AS (SELECT doc_id, unnest(shingles) AS shingle FROM s),
+ common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+ links AS (SELECT a, b FROM common JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * n >= 80 * (len(x.shingles) + len(y.shingles) - n)),
+ reach(a, b) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+ least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN least ON a = doc_id
 """,
 }
 
