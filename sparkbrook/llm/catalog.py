@@ -41,7 +41,7 @@ def op4_hyperdimensional_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.archive_and_index(_table(spark, sf_dir, "pages"))
-    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "timestamp", "position")
 
 
 def op6_byte_prefix_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,12 +69,15 @@ def op10_hyperminhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _SQL = {
     "op5_warc_index_merge": """
-WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
- d AS (SELECT page_id, octet_length(encode(h)) AS n, sha256(h) AS digest FROM p),
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, regexp_extract(lower(trim(url)), '^[a-z]+://(?:www\\.)?([^/?#]*)([^?#]*)(\\?[^#]+)?', ['host', 'path', 'query']) AS u FROM pages),
+ d AS (SELECT page_id, octet_length(encode(h)) AS n, sha256(h) AS digest,
+  array_to_string(list_reverse(string_split(u.host, '.')), ',') || ')' || CASE WHEN u.path = '' THEN '/' ELSE u.path END || u.query AS url_key,
+  strftime(make_timestamp(page_id * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS timestamp FROM p),
  f AS (SELECT digest, min(page_id) AS first_id FROM d WHERE n >= 100 GROUP BY digest)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d.digest AS payload_digest,
  CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
- CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+ CASE WHEN first_id <> page_id THEN first_id END AS refers_to, url_key, timestamp,
+ row_number() OVER (ORDER BY url_key, timestamp, page_id) - 1 AS position
 FROM d LEFT JOIN f ON d.digest = f.digest
 """,
     "op8_spherical_kmeans_neardup": """

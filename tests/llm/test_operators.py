@@ -1,5 +1,6 @@
 """Each operator against a brute-force version, an exact round trip or held-out accuracy."""
 
+import gzip
 import hashlib
 import random
 import struct
@@ -161,20 +162,55 @@ def test_loser_tree_merges_sorted_runs():
         assert list(warc.LoserTree([iter(r) for r in runs], lambda x: x)) == sorted(x for r in runs for x in r)
 
 
-def test_archives_round_trip_and_order(spark, tmp_path):
+def strict_records(data, offset=0):
+    """(offset, fields, block) of the gzip members of a file, by the letter of the format and nothing of the package."""
+    while offset < len(data):
+        unpack = zlib.decompressobj(31)
+        plain = unpack.decompress(data[offset:])
+        assert unpack.eof
+        after = len(data) - len(unpack.unused_data)
+        if plain:
+            head, _, rest = plain.partition(b"\r\n\r\n")
+            version, *lines = head.split(b"\r\n")
+            assert version == b"WARC/1.1"
+            fields = {k.decode(): v.decode() for k, v in (line.split(b": ", 1) for line in lines)}
+            n = int(fields["Content-Length"])
+            assert len(rest) == n + 4 and rest[n:] == b"\r\n\r\n"
+            yield offset, fields, rest[:n]
+        offset = after
+
+
+@pytest.mark.parametrize("broadcast_rows", [200_000, 0])
+def test_archives_round_trip_and_order(spark, tmp_path, broadcast_rows):
     big = "é" * 60
-    rows = [(5, "http://www.b.com/x", big), (3, "https://a.com/?q=1", big), (4, None, "small"), (6, "http://a.com/\r\nbad", "small"), (7, "http://z.org", None), (8, "http://c.org:81/p", "WARC/1.1\r\n\r\n" * 30), (None, "http://d.org", "n"), (9, "x", "\r\n\r\n" + big)]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumnRenamed("url", "url")
-    index = warc.archive_and_index(pages, str(tmp_path / "warc"), records_per_file=2).collect()
-    assert len(index) == len(rows)
+    rows = [(5, "http://www.b.com/x", big), (3, "https://a.com/?q=1", big), (4, None, "small"), (6, "http://a.com/\r\nbad", "small"), (7, "http://z.org", None), (8, "http://c.org:81/p", "WARC/1.1\r\n\r\n" * 30), (None, "http://d.org", "n"), (9, "x", "\r\n\r\n" + big), (10, "http://long.org", "long " * 400_000)]
+    rows += [(i, f"http://h{i % 7}.org/{i % 3}", f"page {i} " * 20) for i in range(20, 120)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    index = warc.archive_and_index(pages, str(tmp_path / "warc"), range_rows=9, file_bytes=3000, broadcast_rows=broadcast_rows).collect()
+    assert len(index) == len(rows) and [r["position"] for r in index] == list(range(len(rows)))
     order = [(r["url_key"], r["timestamp"], r["page_id"] is not None, r["page_id"] or 0) for r in index]
-    assert order == sorted(order)
+    assert order == sorted(order) and len({r["timestamp"] for r in index}) == len(rows)
     by_id = {r["page_id"]: r for r in index}
     for number, _, text in rows:
         data = (text or "").encode()
         assert (by_id[number]["payload_bytes"], by_id[number]["payload_digest"]) == (len(data), hashlib.sha256(data).hexdigest())
     assert (by_id[5]["record_type"], by_id[5]["refers_to"]) == ("revisit", 3)
     assert {r["record_type"] for i, r in by_id.items() if i != 5} == {"response"}
+    # a second, strict reader: by index offsets, and over whole files
+    files = {f: open(f.removeprefix("file:"), "rb").read() for f in {r["archive"] for r in index}}
+    assert len(files) > 3
+    texts = dict((i, t) for i, _, t in rows)
+    for r in index:
+        data = files[r["archive"]]
+        (offset, fields, block), *_ = strict_records(data[: r["offset"] + r["length"]], r["offset"])
+        assert offset == r["offset"] and fields["WARC-Record-ID"] == f"<urn:capture:{'-' if r['page_id'] is None else r['page_id']}>"
+        want = b"" if r["record_type"] == "revisit" else (texts[r["page_id"]] or "").encode()
+        assert block.split(b"\r\n\r\n", 1)[1] == want
+    assert sorted((f, o) for f, data in files.items() for o, _, _ in strict_records(data)) == sorted((r["archive"], r["offset"]) for r in index)
+    plain = b"".join(gzip.decompress(d) for d in files.values())
+    assert len(list(warc.parse_archive(plain))) == len(rows)
+    with pytest.raises(ValueError):
+        list(warc.parse_archive(plain[:-3]))
 
 
 # --- shards -----------------------------------------------------------------------------
