@@ -34,22 +34,20 @@ def components_of(nodes, links):
 
 
 # --- BPE --------------------------------------------------------------------------------
-ATOMS = ["a", "b", " ", "  ", "'", "'ll", "s", "é", "12", "!", "\n", "the", " of", "ing", "<|endoftext|>", "中", " \t", "²", "ſ", "\x1d", "é", "Σ"]
+ATOMS = ["a", "b", " ", "  ", "'", "'ll", "s", "é", "12", "!", "\n", "the", " of", "ing", "<|endoftext|>", "中", " \t", "²", "ſ", "\x1d", "é", "Σ", "½", "😀", "👩‍👩‍👧", "שלום", "مرحبا ", "हिन्दी", "ไทย", "\u2028", "\xa0", "\u3000", "٣"]
 
 
 def by_tree(coder, text, leaf):
-    if not coder.plain(text):
-        return coder.encode(text)
     out = []
     for part in coder.segments(text):
-        out += [coder.special[part]] if part in coder.special else coder.tree([coder.leaf(x) for x in bpe.halves(part, leaf)]).ids
+        out += [coder.special[part]] if part in coder.special else coder.tree([coder.leaf(x) for x in bpe.halves(part, leaf)]).ids.tolist()
     return out
 
 
 def test_tree_concatenation_equals_library(monkeypatch):
     coder, library, rng = bpe.byte_bpe(BYTES), tokens.load(BYTES), random.Random(3)
     for _ in range(600):
-        text = "".join(rng.choice(ATOMS[: rng.choice([5, 12, 16, 22])]) for _ in range(rng.randint(0, 60)))
+        text = "".join(rng.choice(ATOMS[: rng.choice([5, 12, 16, 22, len(ATOMS)])]) for _ in range(rng.randint(0, 60)))
         want = library.encode(text, add_special_tokens=False).ids
         assert coder.encode(text) == want
         assert all(by_tree(coder, text, leaf) == want for leaf in (1, 3, 13)), text
@@ -71,7 +69,9 @@ def test_word_vocabulary_equals_library():
 
 def test_encode_digests_of_long_and_short_texts(spark):
     rows = [(1, "short text"), (2, "word " * 900 + "x" * 5000 + "<|endoftext|>" + " tail's" * 700), (2, "again " * 999), (None, "é" * 4000), (3, None), (4, "")]
-    found = bpe.encode_digests(spark.createDataFrame(rows, "doc_id long, text string"), leaf=500).collect()
+    rng = random.Random(13)
+    mixed = "".join(rng.choice([*ATOMS, " the", " word", " नमस्ते", "،"]) for _ in range(1500))
+    rows += [(5, mixed), (6, "😀" * 700 + "½ " * 300 + "مرحبا بالعالم " * 60 + "<|endoftext|>" + "हिन्दी में " * 40), (7, "ab" * 900)] + [(8, mixed[::-1])] * 3 + [(8, mixed[1:])]
     library = tokens.load(BYTES)
 
     def digest(number, text):
@@ -79,7 +79,11 @@ def test_encode_digests_of_long_and_short_texts(spark):
         decoded = library.decode(ids, skip_special_tokens=False)
         return number, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
-    assert Counter(tuple(r) for r in found) == Counter(digest(*r) for r in rows)
+    frame, want = spark.createDataFrame(rows, "doc_id long, text string").repartition(3), Counter(digest(*r) for r in rows)
+    for leaf, fan in ((1, 64), (7, 3), (500, 2), (500, 64)):
+        some = frame if leaf > 1 else frame.filter("doc_id IN (4, 5, 6, 8)")
+        found = Counter(tuple(r) for r in bpe.encode_digests(some, leaf=leaf, fan=fan).collect())
+        assert found == (want if leaf > 1 else Counter({k: v for k, v in want.items() if k[0] in (4, 5, 6, 8)})), (leaf, fan)
 
 
 # --- packing ----------------------------------------------------------------------------
