@@ -8,10 +8,15 @@ cells whose border is that close: no pair at or above the threshold is missed. C
 more than ``block`` vectors are cut into blocks. A pair is compared in one place, the
 block of the lower number, as one product of a home block with a batch of visitors.
 
+There are about as many cells as the root of the number of vectors, and the sample grows
+with the cells up to a bound, so a vector's work grows with the root, not with the table.
+
 A block returns link counts and links that span what it found, one row per vector and not
 one per pair. Vectors of different lengths are never compared. Vectors that are null,
-empty, zero, or hold null or non-finite components link with nothing; repeated rows count
-each other; an empty table gives an empty result.
+empty, zero, or hold null or non-finite components link with nothing, and neither do those
+with a null id, whose component is null; repeated rows count each other; centroids that
+are equally near are taken in their order; an empty table gives an empty result; further
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -31,17 +36,18 @@ from sparkbrook.scratch import materialize
 
 @dataclass(frozen=True)
 class Cells:
-    """threshold: of the cosine. sample: vectors that the centroids are fitted on, at most.
+    """threshold: of the cosine. per_cell: vectors a cell at most, on average, while the root allows it.
 
+    sample: vectors that the centroids are fitted on, or 16 a cell, most_sample at most.
     slack: share of the border distance that visits are bound by; 1 misses nothing.
     """
 
     threshold: float = 0.95
     per_cell: int = 4096
     least_cells: int = 12
-    most_cells: int = 4096
     block: int = 8192
     sample: int = 20_000
+    most_sample: int = 200_000
     rounds: int = 8
     slack: float = 1.0
     seed: int = 11
@@ -81,28 +87,30 @@ def fit_cells(sample: np.ndarray, k: int, cells: Cells) -> np.ndarray:
     return centroids
 
 
-def visits(units: np.ndarray, centroids: np.ndarray, cells: Cells) -> tuple[np.ndarray, np.ndarray]:
+def between(centroids: np.ndarray) -> np.ndarray:
+    """Distances of the centroids from each other, once a task."""
+    return np.sqrt(np.maximum(0, 2 - 2 * centroids @ centroids.T))
+
+
+def visits(units: np.ndarray, centroids: np.ndarray, apart: np.ndarray, cells: Cells) -> tuple[np.ndarray, np.ndarray]:
     """Home cell of each vector, and a matrix of the cells that it may have neighbours in."""
     near = math.sqrt(2 - 2 * cells.threshold) * cells.slack + 1e-9
     dots = units @ centroids.T
     home = dots.argmax(1)
-    between = np.linalg.norm(centroids[:, None] - centroids[None], axis=2) if len(centroids) <= 512 else np.sqrt(np.maximum(0, 2 - 2 * centroids @ centroids.T))
-    return home, dots[np.arange(len(units)), home][:, None] - dots <= near * between[home] + 1e-12
-
+    return home, dots[np.arange(len(units)), home][:, None] - dots <= near * apart[home] + 1e-6
 
-class _Union:
-    def __init__(self):
-        self.parent: dict[int, int] = {}
 
-    def find(self, x: int) -> int:
-        while self.parent.setdefault(x, x) != x:
-            self.parent[x] = x = self.parent[self.parent[x]]
-        return x
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.find(a), self.find(b)
-        self.parent[a] = b
-        return a != b
+def _stars(hits: np.ndarray) -> np.ndarray:
+    """Per row of a symmetric matrix of links, the first row of its component."""
+    first = np.full(len(hits), -1)
+    for start in range(len(hits)):
+        if first[start] >= 0:
+            continue
+        first[start], front = start, np.array([start])
+        while len(front):  # every row is in the front once
+            front = np.flatnonzero(hits[front].any(0) & (first < 0))
+            first[front] = start
+    return first
 
 
 def _products(d: int, threshold: float):
@@ -110,43 +118,45 @@ def _products(d: int, threshold: float):
 
     def run(batches):
         key, ids, packed, counts, built = None, [], [], [], None
-        union, links, sums = _Union(), [], {}
+        links, sums = [], []  # pieces of (a, b) and of (vector, links)
+
+        def gained(numbers, amounts):
+            some = np.flatnonzero(amounts)
+            sums.append((numbers[some], amounts[some]))
 
-        def add(columns_ids, columns_counts, hits):
-            """hits: home rows x visitors"""
-            nonlocal links
-            home_ids, home_counts = built[1], built[2]
+        def add(their_ids, their_counts, hits):
+            """hits: home rows x visitors. A visitor is linked to one row of each component that it touches."""
+            _, home_ids, home_counts, first = built
             at = np.flatnonzero(hits.any(0))
             if not len(at):
                 return
             part = hits[:, at]
-            for i in np.flatnonzero(part.any(1)):
-                sums[home_ids[i]] = sums.get(home_ids[i], 0) + int(part[i] @ columns_counts[at])
-            gained = home_counts @ part
-            for n, j in enumerate(at):
-                v = int(columns_ids[j])
-                sums[v] = sums.get(v, 0) + int(gained[n])
-                for i in np.flatnonzero(part[:, n]):
-                    if union.join(int(home_ids[i]), v):
-                        links.append((int(home_ids[i]), v))
+            gained(home_ids, part @ their_counts[at])
+            gained(their_ids[at], home_counts @ part)
+            column, row = np.nonzero(part.T)
+            pairs = np.unique(column * len(first) + first[row])
+            links.append((home_ids[pairs % len(first)], their_ids[at][pairs // len(first)]))
 
         def build():
             nonlocal built
-            units = _units(packed, d)
-            built = (units, np.array(ids, np.int64), np.array(counts, np.int64))
+            units, numbers, n = _units(packed, d), np.array(ids, np.int64), np.array(counts, np.int64)
+            hits = np.empty((len(ids), len(ids)), bool)
             for a in range(0, len(ids), 1024):
-                hits = units[: a + 1024] @ units[a : a + 1024].T >= threshold
-                rows, columns = np.arange(len(hits))[:, None], np.arange(a, a + hits.shape[1])[None]
-                hits &= rows < columns
-                padded = np.zeros((len(ids), hits.shape[1]), bool)
-                padded[: len(hits)] = hits
-                add(built[1][a : a + 1024], built[2][a : a + 1024], padded)
+                hits[:, a : a + 1024] = units @ units[a : a + 1024].T >= threshold
+            hits |= hits.T
+            np.fill_diagonal(hits, False)
+            gained(numbers, hits @ n)
+            first = _stars(hits)
+            some = np.flatnonzero(first != np.arange(len(first)))
+            links.append((numbers[first[some]], numbers[some]))
+            built = (units, numbers, n, first)
 
         def out():
-            nonlocal links, sums
-            rows = [(a, b, 0) for a, b in links] + [(v, v, n) for v, n in sums.items()]
-            links, sums = [], {}
-            return pa.RecordBatch.from_arrays([pa.array([int(r[i]) for r in rows], pa.int64()) for i in range(3)], names=["a", "b", "n"])
+            a = np.concatenate([np.empty(0, np.int64), *(x for x, _ in links), *(v for v, _ in sums)])
+            b = np.concatenate([np.empty(0, np.int64), *(y for _, y in links), *(v for v, _ in sums)])
+            n = np.concatenate([np.empty(0, np.int64), *(np.zeros(len(x), np.int64) for x, _ in links), *(n for _, n in sums)])
+            links.clear(), sums.clear()
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n)], names=["a", "b", "n"])
 
         for batch in batches:
             cell, block, visitor = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "block", "visitor"))
@@ -158,7 +168,7 @@ def _products(d: int, threshold: float):
                 if now != key:
                     if built is None and ids:
                         build()
-                    key, ids, packed, counts, built, union = now, [], [], [], None, _Union()
+                    key, ids, packed, counts, built = now, [], [], [], None
                 part = batch.slice(lo, hi - lo)
                 some, vectors, n = part.column("sid").to_pylist(), part.column("vector").to_pylist(), part.column("copies").to_pylist()
                 if not visitor[lo]:
@@ -194,27 +204,29 @@ def near_vectors(rows: DataFrame, cells: Cells = Cells(), id_column: str = "vec_
     found = None
     for d, n in sorted((r["d"], r["count"]) for r in distinct.groupBy("d").count().collect()):  # one row per vector length
         some = distinct.filter(F.col("d") == d)
-        share = min(1.0, cells.sample / n)
+        k = max(cells.least_cells, min(-(-n // cells.per_cell), math.isqrt(n)))
+        most = min(cells.most_sample, max(cells.sample, 16 * k))
+        share = min(1.0, most / n)
         draw = F.pmod(F.xxhash64(F.lit(cells.seed), "sid"), F.lit(1 << 30)) / float(1 << 30)
-        picked = some.filter(draw < share).select("vector", "sid").orderBy("sid").limit(2 * cells.sample).collect()
+        picked = some.filter(draw < share).select("vector", "sid").orderBy("sid").limit(2 * most).collect()
         sample = _units([bytes(r["vector"]) for r in picked] or [bytes(some.first()["vector"])], d)
-        k = max(cells.least_cells, min(cells.most_cells, -(-n // cells.per_cell)))
         centroids = fit_cells(sample, min(k, len(sample)), cells)
 
-        def home(batches, d=d, centroids=centroids):
-            for batch in batches:
-                if batch.num_rows:
-                    where, _ = visits(_units(batch.column("vector").to_pylist(), d), centroids, cells)
+        rows_at_once = max(1, 4_000_000 // len(centroids))
+
+        def home(batches, d=d, centroids=centroids, rows_at_once=rows_at_once):
+            for whole in batches:
+                for at in range(0, whole.num_rows, rows_at_once):
+                    where = (_units(whole.slice(at, rows_at_once).column("vector").to_pylist(), d) @ centroids.T).argmax(1)
                     yield pa.RecordBatch.from_arrays([pa.array(where.astype(np.int32))], names=["cell"])
 
         sizes = some.mapInArrow(home, "cell int").groupBy("cell").count().collect()  # one row per cell
         blocks = {r["cell"]: -(-r["count"] // cells.block) for r in sizes}
 
-        def dealt(batches, d=d, centroids=centroids, blocks=blocks):
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                where, may = visits(_units(batch.column("vector").to_pylist(), d), centroids, cells)
+        def dealt(batches, d=d, centroids=centroids, blocks=blocks, rows_at_once=rows_at_once):
+            apart = between(centroids)
+            for batch in (whole.slice(at, rows_at_once) for whole in batches for at in range(0, whole.num_rows, rows_at_once)):
+                where, may = visits(_units(batch.column("vector").to_pylist(), d), centroids, apart, cells)
                 sids = batch.column("sid").to_pylist()
                 take, cell, block, visitor = [], [], [], []
                 for i, (c, s) in enumerate(zip(where.tolist(), sids, strict=True)):
@@ -241,5 +253,6 @@ def near_vectors(rows: DataFrame, cells: Cells = Cells(), id_column: str = "vec_
     reached = connected_components(found.filter("a <> b").select("a", "b")).withColumnRenamed("node", "sid")
     named = nodes.join(linked, "sid", "left").join(reached, "sid", "left").select("key", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "sid").alias("component"))
     out = keyed.select("vec_id", "key").join(named, "key", "left")
-    out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
+    have = F.col("vec_id").isNotNull()
+    out = out.select("vec_id", F.when(have, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links"), F.when(have, F.coalesce("component", "vec_id")).alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -63,8 +63,10 @@ def test_page_operators(spark):
 def test_empty_vectors(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert vectors.near_vectors(empty).count() == 0
-    one = spark.createDataFrame([(None, [1.0, 0.0], 1), (4, [1.0, 0.0], 1), (4, [1.0, 0.0], 1)], "vec_id long, embedding array<float>, cell int")
-    assert len(vectors.near_vectors(one).collect()) == 3
+    columns = "vec_id long, embedding array<float>, cell int, key string, vector int, copies int, sid string"
+    rest = (1, "k", 2, 3, "s")
+    one = spark.createDataFrame([(None, [1.0, 0.0], *rest), (4, [1.0, 0.0], *rest), (4, [1.0, 0.0], *rest)], columns)
+    assert sorted(map(str, map(tuple, vectors.near_vectors(one).collect()))) == ["(4, 1, 4, True)", "(4, 1, 4, True)", "(None, 0, None, True)"]
 
 
 def test_stages_keep_columns_and_rows(spark):

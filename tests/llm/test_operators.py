@@ -334,6 +334,32 @@ def test_vectors_equal_brute_force(spark):
         assert found[9006]["component_id"] == 9005 and found[9005]["n_links"] == 1
 
 
+def test_dense_cell_and_many_cells(spark):
+    rng = np.random.default_rng(14)
+    dense = rng.normal(size=24) + rng.normal(size=(900, 24)) * 0.16
+    spread = rng.normal(size=(1500, 24))
+    x = np.concatenate([dense, spread, spread[:300] + rng.normal(size=(300, 24)) * 0.1]).astype(np.float32)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(6)
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    hits = u @ u.T >= 0.95
+    np.fill_diagonal(hits, False)
+    want = components_of(range(len(x)), [(int(a), int(b)) for a, b in np.argwhere(hits)])
+    for cells in (vectors.Cells(), vectors.Cells(least_cells=1024, block=100), vectors.Cells(least_cells=3, block=64)):
+        found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_vectors(frame, cells).collect()}
+        assert found == {i: (int(hits[i].sum()), want[i]) for i in range(len(x))}
+
+
+def test_stars_of_chains_and_groups():
+    rng = random.Random(15)
+    for n in (0, 1, 2, 30):
+        hits = np.zeros((n, n), bool)
+        for _ in range(n):
+            a, b = rng.randrange(n), rng.randrange(n)
+            hits[a, b] = hits[b, a] = True
+        want = components_of(range(n), [(int(a), int(b)) for a, b in np.argwhere(hits)])
+        assert vectors._stars(hits).tolist() == [want[i] for i in range(n)]
+
+
 # --- html -------------------------------------------------------------------------------
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header><h1>Site</h1></header>
 <nav><ul><li><a href=/a>One</a><li><a href=/b>Two</a></ul></nav><div class="cookie-notice">We use cookies, okay? Yes, all of them.</div>
