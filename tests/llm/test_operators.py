@@ -6,6 +6,7 @@ import random
 import struct
 import zlib
 from collections import Counter, defaultdict
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -278,7 +279,7 @@ def test_rules_equal_brute_force(spark):
 def test_ratio_counts_whole_words_and_pairs(spark):
     rng = random.Random(7)
     rows = [(i, " ".join(rng.choice(["nation", "station", "was", "is", "öl", "a"]) for _ in range(rng.randint(0, 40)))) for i in range(60)] + [(60, None), (61, "nation")]
-    how = rules.PAIRS
+    how = replace(rules.PAIRS, threshold=-0.1)
     words = sorted({w for _, t in rows for w in (t or "").split()})
     hashed = {w: f"xxhash64('{w}')" for w in words}
     cell = {(w,): h for w, h in spark.sql("SELECT inline(array(" + ", ".join(f"struct('{w}', pmod({h}, {how.buckets}))" for w, h in hashed.items()) + "))").collect()}
@@ -304,6 +305,19 @@ def test_query_sees_words_and_their_order(spark, tmp_path):
     assert llr[0] > llr[40] + 0.1 and llr[40] > llr[80] + 0.1
 
 
+def test_threshold_is_what_documents_kept_out_reach(spark):
+    rng = random.Random(16)
+    rows = [(i, " ".join(rng.choice([f"w{j}" for j in range(i % 5 + 2)]) for _ in range(40)) if i % 9 else "few words") for i in range(200)] + [(None, "null " * 30)]
+    docs, trusted = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i,) for i in range(120)] + [(None,), (3,)], "doc_id long")
+    loose = replace(rules.PAIRS, max_repeated_percent=100)
+    found = {r["doc_id"]: r for r in rules.judge(docs, trusted, loose).collect()}
+    out = lambda i: zlib.crc32(str(i).encode()) % 4 == 3
+    fixed = {r["doc_id"]: r for r in rules.judge(docs, spark.createDataFrame([(i,) for i in range(120) if not out(i)], "doc_id long"), replace(loose, threshold=9.0)).collect()}
+    want = min(0.0, np.percentile([fixed[i]["llr"] for i in range(120) if out(i) and not fixed[i]["base_failed"]], 0.5))
+    for i, r in found.items():
+        assert abs(r["llr"] - fixed[i]["llr"]) < 1e-9 and r["kept"] == (not r["base_failed"] and r["llr"] >= want - 1e-12)
+
+
 def test_rules_separate_labelled_documents(spark):
     found = catalog.op7_likelihood_ratio_rules(spark, "/root/testdata/sf0.01").toPandas()
     both = found.merge(spark.read.parquet("/root/testdata/sf0.01/labels.parquet").toPandas(), on="doc_id")
@@ -311,6 +325,17 @@ def test_rules_separate_labelled_documents(spark):
     assert both[both.quality == 1].kept.mean() > 0.97 and both[both.quality == 0].kept.mean() < 0.2
 
 
+def test_rules_separate_labels_that_they_never_saw(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    bad = labels.filter("quality = 0").toPandas().doc_id
+    good = labels.filter("quality = 1").toPandas().doc_id
+    for half in (0, 1):
+        trusted = spark.createDataFrame([(int(i),) for i in good if i % 2 == half], "doc_id long")
+        found = rules.judge(docs.select("doc_id", "text"), trusted, rules.PAIRS).filter("NOT base_failed").toPandas().set_index("doc_id").kept
+        unseen = [i for i in good if i % 2 != half and i in found.index]
+        assert found[unseen].mean() >= 0.96 and found[[i for i in bad if i in found.index]].mean() <= 0.25  # 180 and 28 documents
+
+
 # --- vectors ----------------------------------------------------------------------------
 def test_vectors_equal_brute_force(spark):
     rng = np.random.default_rng(8)
