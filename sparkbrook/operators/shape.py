@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -79,11 +80,16 @@ def flatten(df: DataFrame, explode: bool = False, max_depth: int | None = None,
     return df.select([leaf.column() for leaf in leaves])
 
 
-def explode_records(df: DataFrame, column: str = "hotels", explode: bool = True, max_depth: int | None = None, raw_column: str | None = None) -> DataFrame:
+def explode_records(df: DataFrame, column: str = "hotels", explode: bool = True, max_depth: int | None = None, raw_column: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """One row per element of the array of records ``column``, flattened.
 
     A document whose array is null or empty keeps one row of nulls; all other columns of
-    the document go.
+    the document go, but those in ``keep``, which each of its records gets.
     """
+    if keep:
+        kept = [F.col(f"`{name}`") for name in keep]
+        records = df.select(F.explode_outer(F.col(f"`{column}`")).alias("record"), *kept)
+        raw = [F.to_json(F.struct("record.*")).alias(raw_column)] if raw_column else []
+        return flatten(records.select("record.*", *raw, *kept), explode=explode, max_depth=max_depth)
     records = df.select(F.explode_outer(F.col(f"`{column}`")).alias("record")).select("record.*")
     return flatten(records, explode=explode, max_depth=max_depth, raw_column=raw_column)

@@ -6,6 +6,7 @@ Spark and other SQL engines read alike (``FLAT``).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from sparkbrook.operators.shape import explode_records, flatten
 from sparkbrook.operators.split import has_all, multiset_difference, split_required
 from sparkbrook.scratch import scratch_path
 from sparkbrook.sources.files import read_csv, read_json, stream_json
-from sparkbrook.sources.store import TableStore
+from sparkbrook.sources.store import TableStore, write_path
 from sparkbrook.streaming.ingest import Ingest, run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,7 +91,7 @@ def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents in the source format: one per nation, with its customers as records."""
+    """Documents in the source format: each with customers of a nation as records, a thousand keys at most."""
     record = F.struct(
         F.col("id"),
         F.col("name"),
@@ -99,7 +100,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("k") % 17 > 0, F.struct(F.lit("1.5").alias("lat"), F.lit("2.5").alias("long"))).alias("geoCode"),
         _address(F.col("k") % 5 > 0).alias("contact"),
     )
-    return _flat(spark, sf_dir).groupBy("n_nationkey").agg(F.collect_list(record).alias("hotels")).select("hotels")
+    return _flat(spark, sf_dir).groupBy("n_nationkey", F.floor(F.col("k") / 1000)).agg(F.collect_list(record).alias("hotels")).select("hotels")
 
 
 _FLATTENED = "id, name, segment, line1 AS contact_address_line1, postal AS contact_address_postalCode, city AS contact_address_city_name, state AS contact_address_state_name, code AS contact_address_country_code, country AS contact_address_country_name"
@@ -342,6 +343,43 @@ def stream_rerun_idempotent(spark, sf_dir):
     return n("records", "n_valid").join(n("records_invalid", "n_invalid"))
 
 
+@query(f"SELECT count(*) FILTER (WHERE {_OK}) * 3 AS n_valid, count(*) FILTER (WHERE NOT ({_OK})) * 3 AS n_invalid FROM ({FLAT})")
+def stream_two_sources(spark, sf_dir):
+    """Two sources with a checkpoint each, and one of them again with a checkpoint made anew."""
+    ingest = _ingest(spark)
+    for _ in range(2):
+        source = scratch_path(spark, "json")
+        _documents(spark, sf_dir).repartition(2).write.json(source)
+        run_stream(stream_json(spark, source, models.document_schema()), ingest, scratch_path(spark, "state"))
+    run_stream(stream_json(spark, source, models.document_schema()), ingest, scratch_path(spark, "state"))
+    n = lambda name, alias: ingest.store.read(name).agg(F.count(F.lit(1)).alias(alias))
+    return n("records", "n_valid").join(n("records_invalid", "n_invalid"))
+
+
+@query("SELECT n_nationkey, CASE WHEN n_nationkey % 3 = 0 THEN '{\"hotels\": [' || n_name END AS original_message FROM nation WHERE n_nationkey % 3 = 0")
+def stream_corrupt_lines(spark, sf_dir):
+    """Lines that are no JSON end up, as they are, among the invalid records."""
+    source = scratch_path(spark, "json")
+    lines = F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit('{"hotels": ['), F.col("n_name"))).otherwise(F.lit('{"hotels": [{"id": "x"}]}'))
+    nation = table(spark, sf_dir, "nation")
+    nation.select(lines.alias("value")).write.text(source)
+    ingest = _ingest(spark, corrupt_column="_corrupt")
+    run_stream(stream_json(spark, source, models.document_schema(), corrupt_column="_corrupt"), ingest, scratch_path(spark, "state"))
+    bad = ingest.store.read("records_invalid").filter("id IS NULL").select("original_message")
+    return bad.join(nation.select("n_nationkey", F.concat(F.lit('{"hotels": ['), F.col("n_name")).alias("original_message")), "original_message").select("n_nationkey", "original_message")
+
+
+@query("SELECT * FROM (VALUES ('records', 0, 28), ('records_invalid', 0, 28)) t(table_name, n_rows, n_columns)")
+def stream_empty_source(spark, sf_dir):
+    """A source without a record leaves both tables, empty and with the bronze columns."""
+    source = scratch_path(spark, "json")
+    table(spark, sf_dir, "nation").limit(0).select(F.lit("").alias("value")).write.text(source)
+    ingest = _ingest(spark)
+    run_stream(stream_json(spark, source, models.document_schema()), ingest, scratch_path(spark, "state"))
+    frames = [(name, ingest.store.read(name)) for name in ("records", "records_invalid")]
+    return spark.createDataFrame([(name, f.count(), len(f.columns)) for name, f in frames], "table_name string, n_rows int, n_columns int")
+
+
 # --- tables -----------------------------------------------------------------------------
 def _store(spark) -> TableStore:
     return TableStore(spark, scratch_path(spark, "store"), "s")
@@ -380,11 +418,11 @@ def table_merge_upsert(spark, sf_dir):
     return store.read("t")
 
 
-@query("""WITH c AS (SELECT CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_custkey END AS k, c_name AS name FROM customer WHERE c_custkey < 100)
+@query("""WITH c AS (SELECT CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_custkey END AS k, c_name AS name FROM customer)
  SELECT * FROM c UNION ALL SELECT * FROM c WHERE k IS NULL""")
 def table_merge_null_keys(spark, sf_dir):
     store = _store(spark)
-    rows = table(spark, sf_dir, "customer").filter("c_custkey < 100").selectExpr("CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_custkey END AS k", "c_name AS name")
+    rows = table(spark, sf_dir, "customer").selectExpr("CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_custkey END AS k", "c_name AS name")
     store.create("t", rows)
     store.merge("t", rows, ["k"])
     return store.read("t")
@@ -413,3 +451,43 @@ def table_sql_select(spark, sf_dir):
     store = _store(spark)
     store.create("supplier_copy", table(spark, sf_dir, "supplier"))
     return spark.sql(f"SELECT s_nationkey, count(*) AS n FROM {store.register('supplier_copy')} GROUP BY s_nationkey")
+
+
+@query("SELECT s_nationkey, count(*) AS n, count(note) AS noted FROM (SELECT s_nationkey, NULL AS note FROM supplier UNION ALL SELECT s_nationkey, 'x' FROM supplier WHERE s_suppkey % 2 = 0) GROUP BY 1")
+def table_catalog_view(spark, sf_dir):
+    """A table by its full name in the catalog, in a schema that is created on the way."""
+    store = TableStore(spark, scratch_path(spark, "store"), f"s_{uuid.uuid4().hex[:12]}")
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    store.create("supplier", rows)
+    store.write("supplier", rows.filter("s_suppkey % 2 = 0").withColumn("note", F.lit("x")))
+    return spark.sql(f"SELECT s_nationkey, count(*) AS n, count(note) AS noted FROM {store.publish('supplier')} GROUP BY s_nationkey")
+
+
+@query("SELECT * FROM (VALUES ('catalogs', 'spark_catalog'), ('schemas', 's'), ('tables', 'a'), ('tables', 'b')) t(kind, name)")
+def table_listings(spark, sf_dir):
+    store, rows = _store(spark), table(spark, sf_dir, "region")
+    for name in ("b", "a"):
+        store.create(name, rows)
+    listed = [store.listing(kind).select(F.lit(kind).alias("kind"), "name") for kind in ("schemas", "tables")]
+    return store.listing("catalogs").filter("name = 'spark_catalog'").select(F.lit("catalogs").alias("kind"), "name").unionByName(listed[0]).unionByName(listed[1])
+
+
+@query("SELECT n_nationkey, n_name, NULL::VARCHAR AS note FROM nation UNION ALL SELECT n_nationkey, NULL, 'second' FROM nation WHERE n_regionkey = 1")
+def path_write_merge_schema(spark, sf_dir):
+    path, nation = scratch_path(spark, "rows"), table(spark, sf_dir, "nation")
+    write_path(nation.select("n_nationkey", "n_name"), path)
+    write_path(nation.filter("n_regionkey = 1").select("n_nationkey", F.lit("second").alias("note")), path)
+    return spark.read.option("mergeSchema", "true").parquet(path).select("n_nationkey", "n_name", "note")
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 5 > 0 OR o_orderkey % 2 = 0")
+def table_delete_by_folder(spark, sf_dir):
+    """A delete that touches one of two folders leaves the other as it is."""
+    store, orders = _store(spark), table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    store.write("t", orders.filter("o_orderkey % 2 = 0"))
+    store.write("t", orders.filter("o_orderkey % 2 > 0"))
+    before = {name for name, _ in store.manifest("t").folders}
+    store.delete("t", "o_orderkey % 5 = 0 AND o_orderkey % 2 > 0")
+    if len(before & {name for name, _ in store.manifest("t").folders}) != 1:
+        raise AssertionError("a folder without hits was written anew")
+    return store.read("t")

@@ -42,6 +42,26 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file through the path's own Hadoop file system."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).open(jpath)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def clean(spark: SparkSession) -> bool:
+    """Removes this application's scratch tables; frames that read them can't be used any more.
+
+    Scratch tables belong to the application and stay until it calls this, because results
+    that are returned lazily read them. A local session without a folder of its own is
+    cleaned when its process ends.
+    """
+    return remove_path(spark, scratch_root(spark))
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and return the written table.
 

@@ -14,33 +14,60 @@ import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkbrook.scratch import remove_path
+from sparkbrook.scratch import materialize, read_text, remove_path
 
 #: Types that may widen, and to what, when a later write brings the wider one.
 _WIDER = {("byte", "short"), ("byte", "integer"), ("byte", "long"), ("short", "integer"), ("short", "long"), ("integer", "long"), ("float", "double"), ("integer", "double")}
 
 
+#: A batch's id: a name, or a stream and the number of its batch, which only rises.
+Batch = str | tuple[str, int]
+
+
 class TableError(ValueError):
     """A table request that cannot be met; nothing was changed."""
 
 
 @dataclass
 class Manifest:
+    """schemas: those that folders were written with, each once; folders: (name, number of its schema).
+
+    streams: per stream its last batch, for a stream repeats none but the last; batches:
+    ids of single batches.
+    """
+
     version: int
     schema: str
     comment: str = ""
-    folders: list[str] = field(default_factory=list)
+    schemas: list[str] = field(default_factory=list)
+    folders: list[tuple[str, int]] = field(default_factory=list)
     batches: list[str] = field(default_factory=list)
+    streams: dict[str, int] = field(default_factory=dict)
 
     @property
     def struct(self) -> T.StructType:
         return T.StructType.fromJson(json.loads(self.schema))
 
+    def following(self, folders: list[tuple[str, str]], schema: T.StructType | None = None, batch: Batch | None = None) -> Manifest:
+        """The next version, of ``folders`` with their schemas."""
+        schemas = list(dict.fromkeys(stored for _, stored in folders))
+        batches = [*self.batches, batch] if isinstance(batch, str) else self.batches
+        streams = self.streams | ({batch[0]: batch[1]} if isinstance(batch, tuple) else {})
+        return Manifest(self.version + 1, schema.json() if schema else self.schema, self.comment, schemas, [(name, schemas.index(stored)) for name, stored in folders], batches, streams)
+
+    @property
+    def stored(self) -> list[tuple[str, str]]:
+        return [(name, self.schemas[number]) for name, number in self.folders]
+
+    def has(self, batch: Batch | None) -> bool:
+        return batch in self.batches if isinstance(batch, str) else batch is not None and self.streams.get(batch[0], -1) >= batch[1]
+
 
 def quoted(*parts: str) -> str:
     return ".".join(f"`{part.replace('`', '``')}`" for part in parts if part)
@@ -97,7 +124,8 @@ class TableStore:
         return f"{self.base}/{self.schema}/{table}"
 
     def ensure_namespace(self) -> None:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(self.schema)}")
+        """The schema in the session's catalog, or in the named one."""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.namespace()}")
 
     # --- manifest -----------------------------------------------------------
     def _fs(self, path: str):
@@ -116,12 +144,7 @@ class TableStore:
         versions = self._versions(table)
         if not versions or version is not None and version not in versions:
             raise TableError(f"no table {table!r}" if not versions else f"{table!r} has no version {version}")
-        jpath, fs = self._fs(f"{self.path(table)}/_manifest/v{versions[-1] if version is None else version}.json")
-        stream = fs.open(jpath)
-        try:
-            return Manifest(**json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
-        finally:
-            stream.close()
+        return Manifest(**json.loads(read_text(self.spark, f"{self.path(table)}/_manifest/v{versions[-1] if version is None else version}.json")))
 
     def _commit(self, table: str, manifest: Manifest) -> Manifest:
         target = f"{self.path(table)}/_manifest/v{manifest.version}.json"
@@ -151,23 +174,52 @@ class TableStore:
     def read(self, table: str, version: int | None = None) -> DataFrame:
         """The rows of a version; columns added later are null in older folders. No job runs."""
         now = self.manifest(table, version)
-        if not now.folders:
-            return self.spark.createDataFrame([], now.struct)
+        return self._frame(table, now, now.stored)
+
+    def _frame(self, table: str, now: Manifest, stored: list[tuple[str, str]], folder_column: str | None = None) -> DataFrame:
+        """The rows of some folders in the table's schema, if asked with the folder that each is in."""
+        if not stored:
+            return self.spark.createDataFrame([], T.StructType([*now.struct.fields, *([T.StructField(folder_column, T.StringType())] if folder_column else [])]))
         groups: dict[str, list[str]] = {}
-        for entry in now.folders:
-            folder, _, stored = entry.partition("|")
-            groups.setdefault(stored, []).append(f"{self.path(table)}/{folder}")
-        frames = [aligned(self.spark.read.schema(T.StructType.fromJson(json.loads(stored)) if stored else now.struct).parquet(*paths), now.struct) for stored, paths in groups.items()]
-        out = frames[0]
-        for frame in frames[1:]:
-            out = out.unionByName(frame)
-        return out
+        for folder, schema in stored:
+            groups.setdefault(schema, []).append(f"{self.path(table)}/{folder}")
+        frames = []
+        for schema, paths in groups.items():
+            frame = self.spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(*paths)
+            if folder_column:  # read before the columns are aligned: it belongs to the scan
+                own = F.regexp_extract(F.input_file_name(), "(data-[0-9a-f]{32})", 1).alias(folder_column)
+                frames.append(aligned(frame, now.struct).select("*", own))
+            else:
+                frames.append(aligned(frame, now.struct))
+        return reduce(DataFrame.unionByName, frames)
 
     def register(self, table: str) -> str:
         """A temporary view of the current version for SQL; returns its name."""
         self.read(table).createOrReplaceTempView(table)
         return table
 
+    def publish(self, table: str) -> str:
+        """A view of the current version in the catalog, for every session that shares it; returns its full name."""
+        now = self.manifest(table)
+        self.ensure_namespace()
+        groups: dict[str, list[str]] = {}
+        for folder, schema in now.stored:
+            groups.setdefault(schema, []).append(folder)
+        parts = []
+        for schema, folders in groups.items():
+            have = {f.name.lower(): f.name for f in T.StructType.fromJson(json.loads(schema)).fields}
+            columns = ", ".join(f"CAST({quoted(have[f.name.lower()]) if f.name.lower() in have else 'NULL'} AS {f.dataType.simpleString()}) AS {quoted(f.name)}" for f in now.struct.fields)
+            parts += [f"SELECT {columns} FROM parquet.{quoted(f'{self.path(table)}/{folder}')}" for folder in folders]
+        none = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {quoted(f.name)}" for f in now.struct.fields)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.identifier(table)} AS " + (" UNION ALL ".join(parts) or f"SELECT {none} WHERE false"))
+        return self.identifier(table)
+
+    def listing(self, kind: str = "tables") -> DataFrame:
+        """Names of tables, schemas or catalogs as a frame of one column ``name``; without any, the default one."""
+        names = {"tables": self.list_tables, "schemas": self.list_schemas, "catalogs": self.list_catalogs}[kind]()
+        fallback = {"tables": [], "schemas": ["default"], "catalogs": ["spark_catalog"]}[kind]
+        return self.spark.createDataFrame([(n,) for n in names or fallback], "name string")
+
     def list_tables(self, schema: str | None = None) -> list[str]:
         return [t for t in self._list(f"{self.base}/{schema or self.schema}") if TableStore(self.spark, self.base, schema or self.schema).exists(t)]
 
@@ -188,35 +240,41 @@ class TableStore:
         have = df.schema if df is not None and df.columns else schema or T.StructType([T.StructField("id", T.StringType())])
         if _has_empty_struct(have):
             raise TableError("a struct without fields can't be stored")
-        first = Manifest(1, evolved(T.StructType([]), have).json(), comment)
-        if df is not None and df.columns:
-            first.folders = [f"{self._write(table, df)}|{have.json()}"]
-        return self._commit(table, first)
+        first = Manifest(0, evolved(T.StructType([]), have).json(), comment)
+        return self._commit(table, first.following([(self._write(table, df), have.json())] if df is not None and df.columns else []))
+
+    def committed(self, table: str, batch: Batch) -> bool:
+        return self.exists(table) and self.manifest(table).has(batch)
 
-    def write(self, table: str, df: DataFrame, mode: str = "append", batch: str | None = None) -> Manifest:
+    def write(self, table: str, df: DataFrame, mode: str = "append", batch: Batch | None = None) -> Manifest:
         """Append or overwrite with schema evolution, by column name.
 
-        batch: an id; a batch that the table has committed already is left out.
+        batch: an id; a batch that the table has committed already (see ``committed``) is left out.
         """
         if mode not in ("append", "overwrite"):
             raise TableError(f"mode is {mode!r}, not append or overwrite")
         now = self.manifest(table) if self.exists(table) else self.create(table, schema=df.schema)
-        if batch is not None and batch in now.batches:
+        if now.has(batch):
             return now
         schema = evolved(now.struct, df.schema)
-        entry = f"{self._write(table, df)}|{df.schema.json()}"
-        folders = [*now.folders, entry] if mode == "append" else [entry]
-        return self._commit(table, Manifest(now.version + 1, schema.json(), now.comment, folders, [*now.batches, *([batch] if batch is not None else [])]))
+        entry = (self._write(table, df), df.schema.json())
+        return self._commit(table, now.following([*now.stored, entry] if mode == "append" else [entry], schema, batch))
 
-    def _replace(self, table: str, now: Manifest, df: DataFrame) -> Manifest:
-        entry = f"{self._write(table, df)}|{df.schema.json()}"
-        return self._commit(table, Manifest(now.version + 1, now.schema, now.comment, [entry], now.batches))
+    def _replace(self, table: str, now: Manifest, hit: set[str], df: DataFrame) -> Manifest:
+        """``df`` in place of the folders in ``hit``; the others stay as they are."""
+        entry = (self._write(table, df), df.schema.json())
+        return self._commit(table, now.following([*(f for f in now.stored if f[0] not in hit), entry]))
+
+    def _hit(self, rows: DataFrame) -> set[str]:
+        """Folders that hold any of ``rows``; a name per folder comes back."""
+        return {r[0] for r in rows.select("_folder").distinct().collect()}
 
     def merge(self, table: str, source: DataFrame, keys: Sequence[str]) -> Manifest:
         """Upsert: rows with equal keys are replaced, the others inserted.
 
         Null keys match nothing, so they insert. Two source rows that match one target row
-        are an error, as is a source without one of the table's columns.
+        are an error, as is a source without one of the table's columns. The source is read
+        once; only folders with rows that are replaced are written anew.
         """
         if not keys:
             raise TableError("merge needs at least one key column")
@@ -227,19 +285,25 @@ class TableStore:
         missing = [f.name for f in now.struct.fields if f.name.lower() not in have] + [k for k in keys if k.lower() not in {f.name.lower() for f in now.struct.fields}]
         if missing:
             raise TableError(f"merge lacks the columns {missing}")
-        fresh, target = aligned(source, now.struct), self.read(table)
+        fresh, target = materialize(aligned(source, now.struct), "merge-source"), self._frame(table, now, now.stored, "_folder")
         columns = [quoted(k) for k in keys]
         twice = fresh.dropna(subset=list(keys)).groupBy(*columns).count().filter("count > 1").join(target.select(*columns), list(keys), "left_semi")
         if not twice.isEmpty():
             raise TableError("several source rows match one row of the table")
-        return self._replace(table, now, fresh.unionByName(target.join(fresh.select(*columns), list(keys), "left_anti")))
+        hit = self._hit(target.join(fresh.select(*columns), list(keys), "left_semi"))
+        kept = self._frame(table, now, [f for f in now.stored if f[0] in hit])
+        return self._replace(table, now, hit, fresh.unionByName(kept.join(fresh.select(*columns), list(keys), "left_anti")))
 
     def delete(self, table: str, condition: str) -> Manifest | None:
-        """Removes rows where ``condition`` is true; where it is null they stay."""
+        """Removes rows where ``condition`` is true; where it is null they stay. Folders without such rows stay as they are."""
         if not self.exists(table):
             return None
         now = self.manifest(table)
-        return self._replace(table, now, self.read(table).filter(~F.coalesce(F.expr(condition), F.lit(False))))
+        hit = self._hit(self._frame(table, now, now.stored, "_folder").filter(condition))
+        if not hit:
+            return now
+        kept = self._frame(table, now, [f for f in now.stored if f[0] in hit])
+        return self._replace(table, now, hit, kept.filter(~F.coalesce(F.expr(condition), F.lit(False))))
 
     def drop(self, table: str, delete_data: bool = True) -> bool:
         """Forgets the table, and by default removes its files; False where there is none."""

@@ -1,3 +1,3 @@
-from sparkbrook.streaming.ingest import BatchReport, Ingest, run_stream
+from sparkbrook.streaming.ingest import BatchReport, Ingest, console, run_stream
 
-__all__ = ["BatchReport", "Ingest", "run_stream"]
+__all__ = ["BatchReport", "Ingest", "console", "run_stream"]

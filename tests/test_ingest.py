@@ -13,7 +13,7 @@ from sparkbrook.operators import combine_address, fill_defaults, fill_nulls, fla
 from sparkbrook.session import object_store_conf
 from sparkbrook.sources.files import read_csv, read_json, stream_json
 from sparkbrook.sources.store import TableError, TableStore
-from sparkbrook.streaming import Ingest, run_stream
+from sparkbrook.streaming import Ingest, console, run_stream
 
 
 def record(number, **changes):
@@ -88,6 +88,39 @@ def test_a_batch_is_written_once(spark, source, tmp_path):
     assert ingest.store.read("records").count() == 3 and ingest.store.read("records_invalid").count() == 5
 
 
+def test_new_checkpoints_lose_nothing(spark, tmp_path):
+    ingest = Ingest(TableStore(spark, str(tmp_path / "base"), "bronze"))
+    for n, (folder, state) in enumerate((("a", "s1"), ("b", "s2"), ("b", "s3"))):  # two sources, then a checkpoint made anew
+        (tmp_path / folder).mkdir(exist_ok=True)
+        (tmp_path / folder / "d.json").write_text(json.dumps({"hotels": [record(f"{folder}1")]}) + "\n")
+        for _ in range(2):  # a rerun adds nothing
+            run_stream(stream_json(spark, str(tmp_path / folder), models.document_schema()), ingest, str(tmp_path / state))
+        assert ingest.store.read("records").count() == n + 1
+    assert len(ingest.reports) == 3 and not any(r.skipped for r in ingest.reports)
+    assert len(ingest.store.manifest("records").streams) == 3 and not ingest.store.manifest("records").batches
+
+
+def test_a_repeated_batch_is_reported(spark, source, tmp_path):
+    ingest = Ingest(TableStore(spark, str(tmp_path / "base"), "bronze"))
+    documents = spark.read.schema(models.document_schema()).json(source)
+    reports = [ingest.run_batch(documents, ("s", n)) for n in (0, 0, 1)]
+    assert [r.skipped for r in reports] == [(), ("records", "records_invalid"), ()]
+    assert ingest.store.read("records").count() == 6
+
+
+def test_empty_input_leaves_both_tables(spark, tmp_path):
+    ingest = Ingest(TableStore(spark, str(tmp_path / "base"), "bronze"))
+    assert ingest.run_batch(spark.createDataFrame([], models.document_schema()), "b") is None
+    assert all(ingest.store.read(t).schema.names == models.bronze_schema().names for t in ("records", "records_invalid"))
+
+
+def test_names_and_console(spark, tmp_path, capsys):
+    store = TableStore(spark, str(tmp_path), "my schema", catalog="c`at")
+    assert store.namespace() == "`c``at`.`my schema`" and store.identifier("t.x") == "`c``at`.`my schema`.`t.x`"
+    console(spark.createDataFrame([("shown",)], "v string"))
+    assert "shown" in capsys.readouterr().out
+
+
 def test_failures_stop_or_are_reported(spark, source, tmp_path):
     documents = spark.read.schema(models.document_schema()).json(source)
     store = TableStore(spark, str(tmp_path / "base"), "bronze")
