@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -68,9 +70,12 @@ def ship_package(spark: SparkSession) -> None:
     root = Path(__file__).resolve().parent
     app = spark.sparkContext.applicationId
     on_path = os.environ.get("PYTHONPATH", "").split(os.pathsep)
-    if app in _shipped or str(root.parent) in on_path:
+    # only workers on this machine are known to share the driver's path
+    if app in _shipped or spark.sparkContext.master.startswith("local") and str(root.parent) in on_path:
         return
-    target = Path(tempfile.mkdtemp(prefix="sparkbrook-")) / "sparkbrook.zip"
+    folder = tempfile.mkdtemp(prefix="sparkbrook-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    target = Path(folder) / "sparkbrook.zip"
     with zipfile.ZipFile(target, "w") as z:
         for file in sorted(root.rglob("*.py")):
             z.write(file, file.relative_to(root.parent))
