@@ -11,7 +11,13 @@ length are counted in hash buckets, so that a length that a third of all pieces
 numbered in many tasks; a lookup by (length, rank) then gives every piece its bin.
 
 Scores: ``dot`` takes the bin with the smallest weighted dot product of residual and
-demand, ``norm`` the one whose weighted residual after the piece has the smallest norm.
+demand, ``norm`` the one whose weighted residual after the piece has the smallest norm;
+of equal ones the oldest bin.
+
+Null text counts as empty, and its one piece is the end id; null ids are ids like others;
+repeated rows are pieces of their own, spread over hash buckets by a number that is written
+with them; very long texts are cut and lose nothing; an empty table gives an empty result;
+further columns of documents, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -122,20 +128,24 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str, limit: int, end_id: int =
     return chosen.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def pack_pieces(pieces: DataFrame, capacity: Capacity = Capacity(), rows_per_bucket: int = 20_000) -> DataFrame:
+def pack_pieces(pieces: DataFrame, capacity: Capacity = Capacity(), rows_per_bucket: int = 20_000, salt: str | None = None) -> DataFrame:
     """``pieces`` (materialised, with a column length) with sequence_id and offset.
 
+    salt: a column that tells equal rows apart, so that many of them take many buckets; it
+    is left out of the result.
+
     Every piece is in one sequence; a sequence's pieces lie gapless from offset 0. Repeated
     rows are pieces of their own. An empty table gives an empty result.
     """
-    keys = list(pieces.columns)
+    keys = [c for c in pieces.columns if c != salt]
+    told = [*keys, salt] if salt else keys
     counts = pieces.groupBy("length").count()  # a row per length: bounded by the capacity
     histogram = {length: n for length, n in counts.collect()}
     total = sum(histogram.values())
     buckets = max(1, -(-total // rows_per_bucket))
     rows = plan_bins(histogram, capacity)
 
-    spread = pieces.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    spread = pieces.withColumn("bucket", F.pmod(F.xxhash64(*told), F.lit(buckets)).cast("int"))
     sizes = spread.groupBy("length", "bucket").count()
     before = sizes.selectExpr("length", "bucket", "sum(count) OVER (PARTITION BY length ORDER BY bucket) - count AS before")
     ranked = spread.selectExpr("*", f"row_number() OVER (PARTITION BY length, bucket ORDER BY {', '.join(f'`{k}`' for k in keys)}) - 1 AS within")
@@ -160,7 +170,7 @@ def pack_pieces(pieces: DataFrame, capacity: Capacity = Capacity(), rows_per_buc
             kept = [batch.column(k) for k in keys]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(bins), pa.array(places)], names=[*keys, "sequence_id", "offset"])
 
-    schema = ", ".join(f"`{n}` {t}" for n, t in pieces.dtypes) + ", sequence_id long, offset long"
+    schema = ", ".join(f"`{n}` {t}" for n, t in pieces.dtypes if n != salt) + ", sequence_id long, offset long"
     return numbered.select(*keys, "rank").mapInArrow(place, schema)
 
 
@@ -171,4 +181,5 @@ def pack_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", capac
     counted and placed.
     """
     pieces = tokenized_pieces(docs, vocabulary, capacity.tokens, end_id, id_column, text_column)
-    return pack_pieces(materialize(pieces, "pieces"), capacity)
+    salted = pieces.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(4096)))
+    return pack_pieces(materialize(salted, "pieces"), capacity, salt="_salt")
