@@ -7,8 +7,12 @@ the byte axis at equal targets then needs no further exchange of rows. A row bel
 the shard that holds its middle byte, so a shard differs from its target by at most one
 document. Any key may repeat: ids only order the rows.
 
-Null text counts as empty, null ids come first, repeated rows each get their own slot, an
-empty table gives an empty result, and other columns of the input play no part.
+Groups of equal texts have no say: where a text's copies lie is decided by their ids alone,
+so they are spread over shards. Null text counts as empty, null ids come first, ids of any
+whole-number type are read as long, rows that tie in id, size and checksum are alike and
+each get a slot of their own, a text of any length counts by its bytes in the JVM and never
+travels, an empty table gives an empty result, and other columns of the input, whatever
+their names, play no part.
 """
 
 from __future__ import annotations
@@ -39,7 +43,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40, id_column: str = "doc_id",
     size is the UTF-8 length of the text plus ``overhead``.
     """
     text = F.encode(F.coalesce(F.col(text_column), F.lit("")), "utf-8")
-    sized = docs.select(F.col(id_column).alias("doc_id"), (F.octet_length(text) + overhead).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    sized = docs.select(F.col(id_column).cast("long").alias("doc_id"), (F.octet_length(text) + overhead).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
     keys = ["doc_id", "size", "text_crc32"]
     spark = docs.sparkSession
     ordered = sized.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys).sortWithinPartitions(*keys)
