@@ -13,8 +13,10 @@ them. Features are computed once and written; in a round every task returns the
 documents of its rows, of which the surest of all are taken, ``per_round`` a teacher, by
 the share of each class. Rows that share an id count once. Without labels of both classes every document
 scores the share of good labels (0.5 without any). Null or empty text has the statistics
-of no words; null metadata is a value of its own; repeated rows score alike; an empty
-table gives an empty result.
+of no words, and texts of any length are read whole; null metadata is a value of its own;
+repeated rows score alike; equally sure documents are taken in the order of a checksum of
+the id; an empty table gives an empty result; columns other than doc_id, text, source, lang
+and n_chars, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -14,8 +14,10 @@ paths that miss the threshold by little, a heading before content, and list item
 cells and the like between content.
 
 White space inside a block becomes one space, blocks are joined by one newline in page
-order. Null or empty html gives an empty text, and so does a page without content;
-repeated rows each give their row; an empty table gives an empty result.
+order. Null or empty html gives an empty text, and so does a page without content; null
+ids and urls are passed on; repeated rows each give their row; paths whose scores tie are
+kept or dropped together; pages of any length and depth are read whole, a page at a time;
+an empty table gives an empty result; further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -8,6 +8,12 @@ a document gets the language whose prototype has the largest cosine with it.
 Bundling is linear, so a batch of documents is one matrix product: n-gram counts times
 n-gram vectors. The prototypes are ``languages x dimensions`` numbers whatever the size of
 the corpus; only they go to the workers.
+
+Null text, text without a letter, and no trained language give ``und`` and 0; equal cosines
+give the first language by name; repeated rows are judged alike, and train as often as they
+are drawn by the hash of their id; texts of any length count whole, a group of texts at a
+time; an empty table gives an empty result. Columns of the input with the names of results
+are left out of the result.
 """
 
 from __future__ import annotations
@@ -172,9 +178,9 @@ def train_prototypes(labelled: DataFrame, profile: Profile = Profile()) -> tuple
 def identify(docs: DataFrame, names: list[str], prototypes: np.ndarray, profile: Profile = Profile(), text_column: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score, the cosine with the winner, at least 0.
 
-    Null text, text without a letter, and no trained language give ``und`` and 0; equal
-    cosines give the first language by name. Rows are independent: no exchange.
+    Rows are independent: no exchange.
     """
+    docs = docs.select([F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "score")])
     schema = docs.schema
 
     def run(batches):

@@ -52,6 +52,23 @@ def test_document_operators(spark, name):
     assert run(docs.limit(0)).count() == 0
 
 
+def test_whole_number_ids_of_any_type(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, None), (2, "x")], "doc_id int, text string")
+    assert sorted(r["doc_id"] for r in sharding.shard_by_bytes(docs, shards=2).collect()) == [1, 2, 2]
+    for name in ("pack", "bpe", "neardup", "cotrain"):
+        assert operators(spark)[name](docs).count() == 3, name
+
+
+def test_many_equal_rows_are_packed_apart(spark):
+    docs = spark.createDataFrame([(1, "same words")] * 3000 + [(2, "other")], "doc_id long, text string").repartition(3)
+    pieces = packing.materialize(packing.tokenized_pieces(docs, "word_bpe_49k.json", 2048).selectExpr("*", "pmod(monotonically_increasing_id(), 4096) AS _salt"), "pieces")
+    found = packing.pack_pieces(pieces, rows_per_bucket=100, salt="_salt").toPandas()
+    assert len(found) == 3001 and "_salt" not in found.columns
+    for _, group in found.groupby("sequence_id"):
+        group = group.sort_values("offset")
+        assert (group.offset.values == group.length.cumsum().values - group.length.values).all() and group.length.sum() <= 2048
+
+
 def test_page_operators(spark):
     pages = spark.createDataFrame([(1, None, None, "x", 1), (1, None, None, "x", 1), (None, "u", "<p>A, b.</p>", "x", 1)], "page_id long, url string, html string, text string, offset int")
     assert html.extract_pages(pages).count() == 3

@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import math
 import random
 import struct
 import zlib
@@ -149,6 +150,34 @@ def test_held_out_accuracy(spark):
     assert all((zlib.crc32(str(i).encode()) % 4 == 2) == h for i, h in zip(found.doc_id, found.held_out))
 
 
+def test_bundles_and_cosines_by_loops(spark):
+    profile = langid.Profile(dimensions=64)
+    encoder = langid.Encoder(profile)
+
+    def bundle(text):
+        letters = " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
+        out = [0] * 64
+        for a, b, c in zip(letters, letters[1:], letters[2:]):
+            va, vb, vc = (encoder.letter(ord(x)).tolist() for x in (a, b, c))
+            for i in range(64):
+                out[i] += va[(i - 2) % 64] * vb[(i - 1) % 64] * vc[i]
+        return out
+
+    texts = ["The cat, the mat!", "Ça va bien; très bien", "ab", "x", "été 12 été", "Straße ohne Ende"]
+    bundles = [bundle(t) for t in texts]
+    assert encoder.bundles([langid.letters_only(t) for t in texts]).tolist() == bundles
+    unit = lambda v: [x / math.sqrt(sum(y * y for y in v)) for x in v]
+    langs = ["en", "fr", "en", "en", "fr", "de"]
+    prototypes = {name: unit([sum(x) for x in zip(*(unit(b) for b, la in zip(bundles, langs) if la == name))]) for name in sorted(set(langs))}
+    docs = spark.createDataFrame([(i, t, la, 1.5, "x") for i, (t, la) in enumerate(zip(texts, langs))], "doc_id long, text string, lang string, score double, lang_pred string")
+    names, table = langid.train_prototypes(docs, profile)
+    found = langid.identify(docs, names, table, profile)
+    assert found.columns == ["doc_id", "text", "lang", "lang_pred", "score"]
+    for r in found.collect():
+        cosines = {name: sum(a * b for a, b in zip(unit(bundles[r["doc_id"]]), p)) for name, p in prototypes.items()}
+        assert abs(r["score"] - max(0, max(cosines.values()))) < 1e-5 and abs(cosines[r["lang_pred"]] - max(cosines.values())) < 1e-5
+
+
 def test_every_language_can_be_predicted(spark):
     rng = random.Random(4)
     words = {f"l{i:03}": "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(12)) for i in range(600)}
@@ -440,6 +469,39 @@ def test_broken_pages_do_not_fail(page):
     assert isinstance(html.extract_text(page), str)
 
 
+def test_path_scores_by_loops():
+    blocks = html.blocks_of(PAGE) + [html.Block(("html", "div"), "All of it, a link.", 18, False)]
+    at = {}
+    for b in blocks:
+        at.setdefault((b.path, b.barred), []).append(b)
+    text = {k: sum(max(0, len(b.text) - 2 * b.linked) for b in v) / len(v) for k, v in at.items()}
+    marks = {k: sum(sum(c in ".,;:!?¡¿…、。，；：！？·'\"()" for c in b.text) for b in v if 2 * b.linked < len(b.text)) / len(v) for k, v in at.items()}
+    weights = [math.exp(-(d**2) / 2) for d in (-2, -1, 0, 1, 2)]
+    order = [(b.path, b.barred) for b in blocks]
+    means = {k: [] for k in at}
+    for i, k in enumerate(order):
+        near = [(w, order[min(max(i + d, 0), len(order) - 1)]) for w, d in zip(weights, (-2, -1, 0, 1, 2))]
+        t, m = (sum(w * r[x] for w, x in near) / sum(weights) for r in (text, marks))
+        means[k].append(math.sqrt(math.sqrt(text[k] * (marks[k] + 0.25)) * math.sqrt(t * (m + 0.25))))
+    for k, found in html.path_scores(blocks).items():
+        inside = 1.5 if any(s.split(".")[0] in ("article", "main") for s in k[0]) else 1.0
+        linked = sum(len(b.text) - 2 * b.linked for b in at[k]) > 0
+        assert abs(found - inside * (0.1 if k[1] else 1.0) * linked * sum(means[k]) / len(means[k])) < 1e-9
+
+
+def test_scores_decide_on_pages(spark, monkeypatch):
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    found, scores = [html.extract_text(p) for p in pages], html.path_scores
+    monkeypatch.setattr(html, "path_scores", lambda blocks: dict.fromkeys(scores(blocks), 1.0))
+    assert sum(html.extract_text(p) != f for p, f in zip(pages, found)) > 0.9 * len(pages)
+
+
+def test_deep_and_long_pages():
+    deep = "<div>" * 3000 + "<p>Deep text, with a mark.</p>" + "</div>" * 3000
+    assert html.extract_text(deep) == "Deep text, with a mark."
+    assert len(html.extract_text(f"<article>{STORY * 2000}</article>").split("\n")) == 16_000
+
+
 # --- near-duplicates --------------------------------------------------------------------
 def word_sets(text, width):
     words = (text or "").encode().lower().split()
@@ -548,6 +610,47 @@ def test_co_training_separates_held_out_labels(spark):
     assert found.score.between(0, 1).all()
 
 
+def test_co_training_by_loops(spark):
+    rng = random.Random(17)
+    words = ["BUY", "$$$", "NOW!", "plain", "words", "quiet", "order", "read", "more"]
+    rows = []
+    for i in range(160):
+        good = rng.random() < 0.6
+        rows.append((i, " ".join(rng.choice(words[3:] if good else words[:6]) for _ in range(rng.randint(3, 30))), rng.choice("ab") if good else "c", "en", i))
+    labels, how = {i: int(r[2] != "c") for i, r in enumerate(rows[:80])}, cotrain.CoTraining(cells=64, per_round=12, rounds=3, sure=0.7)
+    crc, view = lambda i: (zlib.crc32(str(i).encode()), i), cotrain.TextView(64)
+    t, m = {r[0]: view(r[1]) for r in rows}, {r[0]: cotrain.meta_view(r[2], r[3], r[4]) for r in rows}
+    known, free = sorted(labels, key=crc), [r[0] for r in rows[80:]]
+
+    def pick(weights, taken, quotas):
+        out = []
+        for learner in (0, 1):
+            views = (m, t)[learner]
+            p = {i: 1 / (1 + math.exp(-round(min(30, max(-30, sum(a * b for a, b in zip(views[i].tolist(), weights[1 - learner].tolist())))), 6))) for i in free}
+            for label in (1, 0):
+                sure = {i: x if label else 1 - x for i, x in p.items()}
+                best = sorted((i for i in free if sure[i] >= how.sure and i not in taken[learner]), key=lambda i: (-sure[i], *crc(i)))  # noqa: B023
+                out += [(learner, label, i, t[i], m[i]) for i in best[: quotas[label]]]
+        return out
+
+    want = cotrain.co_train(np.stack([t[i] for i in known]), np.stack([m[i] for i in known]), np.array([labels[i] for i in known]), pick, how)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long").repartition(5)
+    found = cotrain.train(docs, spark.createDataFrame(list(labels.items()), "doc_id long, quality int"), how)
+    for part in ("text", "meta", "platt", "mix"):
+        assert np.allclose(getattr(found, part), getattr(want, part), atol=1e-4), part
+
+
+def test_text_statistics_by_loops():
+    text = "Buy NOW!! the the 3 | x | x\nSame line\n\nSame line"
+    words = text.split()
+    found = cotrain.TextView(8)(text)
+    n, size = len(words), len(text)
+    want = [1, math.log1p(n) / 10, 10 * text.count("|") / size, 3 * sum(c.isupper() for c in text) / size, 5 / size, 2 / n, 3 * (1 - len(set(words)) / n), size / n / 10, 1 / 3, 2 / n, n < 20, 3 * 1 / n]
+    assert np.allclose(found[:12], want)
+    cells = Counter(zlib.crc32(w.encode()) % 8 for w in words)
+    assert np.allclose(found[12:], [math.sqrt(cells[c] / n) for c in range(8)])
+
+
 def test_co_training_without_labels(spark):
     docs = spark.createDataFrame([(1, None, None), (2, "a b", "en")], "doc_id long, text string, lang string")
     found = cotrain.classify(docs, spark.createDataFrame([], "doc_id long, quality int")).collect()
