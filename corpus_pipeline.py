@@ -2,6 +2,10 @@
 
 Each stage takes all rows that its predecessor kept and returns rows of the same columns,
 the last one packed pieces. Between stages the rows are written as Parquet.
+
+In every stage: an empty table gives an empty result; null ids are rows like others; columns
+whose names clash with results are kept as they are by all stages but the last, which reads
+doc_id and text only; texts are read whole, however long.
 """
 
 from __future__ import annotations
@@ -27,7 +31,11 @@ def _aside(docs: DataFrame, own: tuple[str, ...]):
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that fail the base rules or the likelihood ratio."""
+    """Drops documents that fail the base rules or the likelihood ratio.
+
+    Null and empty texts fail; repeated rows stay or go together; a ratio that equals the
+    threshold stays.
+    """
     ship_package(spark)
     trusted = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1")
     own, back = _aside(docs, ("doc_id", "text"))
@@ -35,7 +43,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a recognisable language."""
+    """Drops documents without a recognisable language.
+
+    Null texts and texts without a letter have none, and without any label no text has;
+    repeated rows stay or go together; a score that equals the least stays.
+    """
     ship_package(spark)
     profile = langid.Profile()
     names, prototypes = langid.train_prototypes(docs.filter(~langid.held_out()).select("doc_id", "text", "lang"), profile)
@@ -48,7 +60,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near-duplicates (five words, 0.8).
 
     Rows are compared by a number of their own, so rows that share an id, or have none, are
-    documents like any other; a null id comes after all others.
+    documents like any other; a null id comes after all others, and of rows that tie the
+    first as read stays. Null and empty texts are near nothing and stay.
     """
     ship_package(spark)
     own, back = _aside(docs, ("doc_id", "text"))
@@ -66,7 +79,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into sequences of 2048 tokens."""
+    """Packs what is left into sequences of 2048 tokens; null texts are their end mark, repeated rows pieces of their own."""
     ship_package(spark)
     return packing.pack_documents(docs)
 
