@@ -79,6 +79,17 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d.digest AS payload_digest,
  CASE WHEN first_id <> page_id THEN first_id END AS refers_to, url_key, timestamp,
  row_number() OVER (ORDER BY url_key, timestamp, page_id) - 1 AS position
 FROM d LEFT JOIN f ON d.digest = f.digest
+""",
+    "op6_byte_prefix_shards": """
+WITH k AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+ h AS (SELECT doc_id, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS pairs FROM documents),
+ b AS (SELECT doc_id, CAST(len(pairs) + 16 AS BIGINT) AS size, list_prepend(4294967295, list_transform(pairs, lambda x: CAST('0x' || x AS BIGINT))) AS bytes FROM h),
+ d AS (SELECT doc_id, size, xor(list_reduce(bytes, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32 FROM b, k),
+ s AS (SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32 ROWS UNBOUNDED PRECEDING) - size AS start, sum(size) OVER () AS total FROM d),
+ p AS (SELECT *, CAST(least(39, (2 * start + size) * 40 // (2 * total)) AS INTEGER) AS shard FROM s)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+ row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM p
 """,
     "op8_spherical_kmeans_neardup": """
 WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
