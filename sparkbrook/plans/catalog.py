@@ -90,7 +90,7 @@ def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(spark, sf_dir).select("id", "name", "segment", _address(F.col("k") % 5 > 0).alias("contact"))
 
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in the source format: each with customers of a nation as records, a thousand keys at most."""
     record = F.struct(
         F.col("id"),
@@ -297,14 +297,14 @@ def _ingest(spark, **options) -> Ingest:
 
 @query(_VALID_SQL)
 def pipeline_valid(spark, sf_dir):
-    return _ingest(spark).split(_documents(spark, sf_dir)).valid.select(*_OUT, "combined_address")
+    return _ingest(spark).split(documents(spark, sf_dir)).valid.select(*_OUT, "combined_address")
 
 
 @query(f"""SELECT id, name, 'P1' AS providerId, segment AS category, CASE WHEN k % 17 > 0 THEN '1.5' END AS geoCode_lat, CASE WHEN k % 17 > 0 THEN '2.5' END AS geoCode_long,
  line1 AS contact_address_line1, city AS contact_address_city_name, state AS contact_address_state_name, code AS contact_address_country_code,
  country AS contact_address_country_name, postal AS contact_address_postalCode FROM ({FLAT}) WHERE NOT ({_OK})""")
 def pipeline_invalid(spark, sf_dir):
-    return _ingest(spark).split(_documents(spark, sf_dir)).invalid.select(*_OUT)
+    return _ingest(spark).split(documents(spark, sf_dir)).invalid.select(*_OUT)
 
 
 # --- sources ----------------------------------------------------------------------------
@@ -324,7 +324,7 @@ def read_json_inferred(spark, sf_dir):
 
 def _streamed(spark, sf_dir, runs: int) -> TableStore:
     source, state = scratch_path(spark, "json"), scratch_path(spark, "state")
-    _documents(spark, sf_dir).repartition(3).write.json(source)
+    documents(spark, sf_dir).repartition(3).write.json(source)
     ingest = _ingest(spark)
     for _ in range(runs):
         run_stream(stream_json(spark, source, models.document_schema(), max_files_per_trigger=1), ingest, state)
@@ -349,7 +349,7 @@ def stream_two_sources(spark, sf_dir):
     ingest = _ingest(spark)
     for _ in range(2):
         source = scratch_path(spark, "json")
-        _documents(spark, sf_dir).repartition(2).write.json(source)
+        documents(spark, sf_dir).repartition(2).write.json(source)
         run_stream(stream_json(spark, source, models.document_schema()), ingest, scratch_path(spark, "state"))
     run_stream(stream_json(spark, source, models.document_schema()), ingest, scratch_path(spark, "state"))
     n = lambda name, alias: ingest.store.read(name).agg(F.count(F.lit(1)).alias(alias))
