@@ -3,7 +3,9 @@
 Large-star and small-star steps, each a pre-aggregated minimum per node joined back to the
 links, until nothing changes or few enough links are left for one task to finish: O(log n)
 rounds in practice. Rounds are written to the
-shared folder, so the lineage stays short and a lost executor costs one round.
+shared folder, so the lineage stays short and a lost executor costs one round. The minima
+are written before they are joined back: both sides of that join are then bare exchanges of
+written tables, the form in which adaptive execution splits the partition of a star's centre.
 """
 
 from __future__ import annotations
@@ -73,11 +75,11 @@ def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
             break
         # large star: neighbours above a node go to its smallest neighbour
         both = stars.unionByName(stars.selectExpr("v AS u", "u AS v"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) AS m")
+        least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) AS m"), "least")
         large = both.join(least, "u").filter("v > u").selectExpr("v AS u", "m AS v").filter("u <> v")
         # small star: neighbours below a node, and the node, go to the smallest of them
-        large = large.distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = materialize(large.distinct(), "large-star")
+        low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         joined = large.join(low, "u")
         small = joined.selectExpr("v AS u", "m AS v").unionByName(low.selectExpr("u", "m AS v")).filter("u <> v").distinct()
         stars = materialize(small, "stars")
