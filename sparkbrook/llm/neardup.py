@@ -442,12 +442,14 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity(), id_column:
     nodes = materialize(nodes.withColumn("sid", F.monotonically_increasing_id()), "nodes")
     banded = nodes.select("sid", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("sid").alias("first"), F.max("sid").alias("last")).filter("first < last").select("band", "first")
+    shared = materialize(shared, "bands")  # written tables on both sides of a join: a band of many sets can be split
     candidates = banded.join(shared, "band").filter("sid <> first").select(F.col("first").alias("a"), F.col("sid").alias("b")).distinct()
     groups = materialize(connected_components(candidates).selectExpr("node AS sid", "component AS grp"), "groups")
 
     # sets of the members, each in a block of its group that holds a bounded number of sets and shingles
     sized = groups.join(nodes.drop("bands"), "sid")
     blocks = sized.groupBy("grp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / how.tile), F.ceil(F.sum("n_shingles") / how.tile_shingles)).cast("int").alias("blocks"))
+    blocks = materialize(blocks, "blocks")
     members = sized.join(blocks, "grp").select(F.col("least_id").alias("doc_id"), "set_key", "sid", "grp", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int").alias("block"))
     members = materialize(members, "members")
     count = members.count()
@@ -458,7 +460,6 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity(), id_column:
         sets = materialize(sets.groupBy("sid", "grp", "block").agg(F.first("shingles").alias("shingles")), "sets")
 
     # step 1: each block with itself, and with the group's first blocks
-    blocks = materialize(blocks, "blocks")
     own = blocks.select("grp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("q"))
     diagonal = own.selectExpr("grp", "q AS p", "q", "0 AS side", "q AS block")
     hub = own.filter("q > 0").selectExpr("grp", f"explode(sequence(0, least(q, {how.hubs}) - 1)) AS p", "q")
@@ -475,6 +476,8 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity(), id_column:
     reached = materialize(connected_components(links).withColumnRenamed("node", "sid").join(nodes.select("sid", "set_key", "least_id"), "sid"), "reached")
     names = reached.groupBy("component").agg(F.min("least_id").alias("name"))
     named = reached.join(names, "component").select("set_key", "name")
-    out = sketches.select("doc_id", "n_shingles", "set_key").join(nodes.select("set_key", "least_id"), "set_key", "left").join(named, "set_key", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("name", "least_id", "doc_id"))
+    # one join by set, against a written table, so that the rows of a set with many copies can be split
+    final = nodes.select("set_key", "least_id").join(named, "set_key", "left").select("set_key", F.coalesce("name", "least_id").alias("name"))
+    out = sketches.select("doc_id", "n_shingles", "set_key").join(materialize(final, "names"), "set_key", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("name", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
