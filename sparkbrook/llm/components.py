@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkbrook.llm.memory import returning
 from sparkbrook.scratch import materialize
 
 
@@ -65,13 +66,13 @@ def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """
     a, b = links.columns[:2]
     pairs = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).filter("u <> v")
-    stars = materialize(pairs.mapInArrow(_local_stars, "u long, v long"), "stars")
+    stars = materialize(pairs.mapInArrow(returning(_local_stars), "u long, v long"), "stars")
     mark = _mark(stars)
     for _ in range(rounds):
         if not mark[0]:
             break
         if mark[0] <= SMALL:
-            stars = materialize(stars.coalesce(1).mapInArrow(_local_stars, "u long, v long"), "stars")
+            stars = materialize(stars.coalesce(1).mapInArrow(returning(_local_stars), "u long, v long"), "stars")
             break
         # large star: neighbours above a node go to its smallest neighbour
         both = stars.unionByName(stars.selectExpr("v AS u", "u AS v"))

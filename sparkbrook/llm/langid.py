@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkbrook.llm.memory import returning
+
 UNKNOWN = "und"
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 _ROWS = 256
@@ -165,7 +167,7 @@ def train_prototypes(labelled: DataFrame, profile: Profile = Profile()) -> tuple
                     sums.clear()
         yield from rows_of(sums)
 
-    sums = sample.mapInArrow(bundle, "lang string, d int, v long").groupBy("lang", "d").agg(F.sum("v").alias("v"))
+    sums = sample.mapInArrow(returning(bundle), "lang string, d int, v long").groupBy("lang", "d").agg(F.sum("v").alias("v"))
     sums = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("d", "v")))["v"].alias("v")).toArrow()
     table, places = np.zeros((len(names), profile.dimensions), np.float32), {name: i for i, name in enumerate(names)}
     for batch in sums.to_batches():
@@ -199,7 +201,7 @@ def identify(docs: DataFrame, names: list[str], prototypes: np.ndarray, profile:
 
     at = docs.columns.index(text_column)
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return docs.mapInArrow(run, f"{out}, lang_pred string, score double")
+    return docs.mapInArrow(returning(run), f"{out}, lang_pred string, score double")
 
 
 def held_out(id_column: str = "doc_id"):

@@ -48,6 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkbrook.llm.components import connected_components
+from sparkbrook.llm.memory import returning
 from sparkbrook.scratch import materialize
 
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -306,7 +307,7 @@ _TILE = ["grp", "p", "q", "side", "sid", "component", "shingles"]
 def _tiled(rows: DataFrame, how: Similarity, n: int) -> DataFrame:
     """Links of the tiles that ``rows`` (grp, p, q, side, sid, component, shingles) make up."""
     dealt = rows.select(_TILE).repartition(n, "grp", "p", "q").sortWithinPartitions("grp", "p", "q", "side", "sid")
-    return dealt.mapInArrow(_compare(how), "a bigint, b bigint")
+    return dealt.mapInArrow(returning(_compare(how)), "a bigint, b bigint")
 
 
 def _count_cells(how: Similarity):
@@ -410,15 +411,15 @@ def _outsiders(sets: DataFrame, large: DataFrame, links: DataFrame, how: Similar
     pool = materialize(placed.select(_MEMBER).join(sets.select("sid", "shingles"), "sid").select(*_MEMBER, "shingles"), "pool")
     if pool.isEmpty():
         return None
-    cells = pool.select("shingles").mapInArrow(_count_cells(how), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most ``cells`` rows
+    cells = pool.select("shingles").mapInArrow(returning(_count_cells(how)), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most ``cells`` rows
     counts = np.zeros(how.cells, np.int32)
     counts[cells.column("cell").to_numpy()] = np.minimum(cells.column("n").to_numpy(), np.iinfo(np.int32).max)
     schema = "token long, sid long, grp long, component long, block int, part int, outside boolean, n long, bits binary"
-    keys = materialize(pool.mapInArrow(_prefixes(how, counts), schema), "prefixes")
+    keys = materialize(pool.mapInArrow(returning(_prefixes(how, counts)), schema), "prefixes")
     shared = keys.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high"), F.max("outside").alias("any"))
     shared = materialize(shared.filter("low < high AND any").select("token", (F.col("size") > how.meet).alias("often")), "shared")
     meet = keys.join(shared.filter("NOT often").select("token"), "token").repartition(n, "token").sortWithinPartitions("token")
-    tiles = meet.mapInArrow(_meetings(how), "grp long, p int, q int, side int, sid long").distinct()
+    tiles = meet.mapInArrow(returning(_meetings(how)), "grp long, p int, q int, side int, sid long").distinct()
     # sets of dense groups, in blocks of their own: outsiders at every block, and all at every part of the outsiders
     dense = materialize(keys.join(shared.filter("often").select("token"), "token").select("sid", "grp", "outside").distinct(), "dense")
     sizes = dense.groupBy("grp").agg(F.ceil(F.count_if("outside") / how.tile).cast("int").alias("parts"), F.ceil(F.count(F.lit(1)) / how.tile).cast("int").alias("blocks")).filter("parts > 0")
@@ -434,7 +435,7 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity(), id_column:
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    sketches = materialize(rows.mapInArrow(_sketch(how), "doc_id long, n_shingles long, set_key binary, bands array<bigint>"), "sketches")
+    sketches = materialize(rows.mapInArrow(returning(_sketch(how)), "doc_id long, n_shingles long, set_key binary, bands array<bigint>"), "sketches")
 
     # equal sets are one node with a number of its own, fixed as it is written
     usable = sketches.filter("set_key IS NOT NULL AND doc_id IS NOT NULL")
@@ -454,7 +455,7 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity(), id_column:
     members = materialize(members, "members")
     count = members.count()
     few = count <= how.broadcast_rows
-    sets = rows.join(F.broadcast(members) if few else members, "doc_id").mapInArrow(_sets_of(how), "sid long, grp long, block int, shingles binary")
+    sets = rows.join(F.broadcast(members) if few else members, "doc_id").mapInArrow(returning(_sets_of(how)), "sid long, grp long, block int, shingles binary")
     sets = materialize(sets, "sets")
     if sets.count() > count:  # repeated rows in several tasks
         sets = materialize(sets.groupBy("sid", "grp", "block").agg(F.first("shingles").alias("shingles")), "sets")

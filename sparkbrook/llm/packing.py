@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkbrook.llm import tokens
+from sparkbrook.llm.memory import returning
 from sparkbrook.scratch import materialize
 
 
@@ -125,7 +126,7 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str, limit: int, end_id: int =
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     chosen = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    return chosen.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return chosen.mapInArrow(returning(cut), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def pack_pieces(pieces: DataFrame, capacity: Capacity = Capacity(), rows_per_bucket: int = 20_000, salt: str | None = None) -> DataFrame:
@@ -171,7 +172,7 @@ def pack_pieces(pieces: DataFrame, capacity: Capacity = Capacity(), rows_per_buc
             yield pa.RecordBatch.from_arrays([*kept, pa.array(bins), pa.array(places)], names=[*keys, "sequence_id", "offset"])
 
     schema = ", ".join(f"`{n}` {t}" for n, t in pieces.dtypes if n != salt) + ", sequence_id long, offset long"
-    return numbered.select(*keys, "rank").mapInArrow(place, schema)
+    return numbered.select(*keys, "rank").mapInArrow(returning(place), schema)
 
 
 def pack_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", capacity: Capacity = Capacity(), end_id: int = 0, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -83,7 +83,7 @@ class WordBpe:
     tokenizers library itself.
     """
 
-    LIMIT = 400_000
+    LIMIT = 150_000  # about 55 MB, which stay with the worker
 
     def __init__(self, name: str):
         import tiktoken
