@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkbrook.llm.memory import returning
 from sparkbrook.scratch import materialize
 
 
@@ -230,14 +231,14 @@ def train(docs: DataFrame, labels: DataFrame, how: CoTraining = CoTraining()) ->
     draw = F.xxhash64(F.lit(how.seed), "doc_id")
     some = labelled.orderBy(draw, "doc_id").limit(how.labelled)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *_meta_columns(docs)).filter("doc_id IS NOT NULL").join(F.broadcast(some), "doc_id", "left")
-    features = materialize(rows.mapInArrow(_features(how), "doc_id long, quality int, t binary, m binary"), "features")
+    features = materialize(rows.mapInArrow(returning(_features(how)), "doc_id long, quality int, t binary, m binary"), "features")
     # one row per id, reduced before the exchange: rows that repeat an id never reach the driver
     known = features.filter("quality IS NOT NULL").groupBy("doc_id", "quality").agg(F.min(F.struct("t", "m")).alias("_least")).select("doc_id", "quality", "_least.*").collect()
     known.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
     free = features.filter("quality IS NULL").select("doc_id", "t", "m")
 
     def pick(weights, taken, quotas):
-        each = free.mapInArrow(_surest(weights, taken, quotas, how), "learner int, label int, doc_id long, sure double, t binary, m binary")
+        each = free.mapInArrow(returning(_surest(weights, taken, quotas, how)), "learner int, label int, doc_id long, sure double, t binary, m binary")
         each = each.groupBy("learner", "label", "doc_id").agg(F.max(F.struct("sure", "t", "m")).alias("_most")).select("learner", "label", "doc_id", "_most.*")
         place = F.row_number().over(Window.partitionBy("learner", "label").orderBy(F.desc("sure"), F.crc32(F.col("doc_id").cast("string")), "doc_id"))
         top = each.withColumn("place", place).filter(F.col("place") <= F.when(F.col("label") == 1, quotas[1]).otherwise(quotas[0])).filter(F.col("place") <= max(quotas)).collect()
@@ -267,7 +268,7 @@ def score(docs: DataFrame, model: Model, how: CoTraining = CoTraining()) -> Data
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, each), pa.array(p), pa.array(p >= how.threshold)], names=["doc_id", "text_score", "meta_score", "score", "kept"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *_meta_columns(docs))
-    return rows.mapInArrow(run, "doc_id long, text_score double, meta_score double, score double, kept boolean")
+    return rows.mapInArrow(returning(run), "doc_id long, text_score double, meta_score double, score double, kept boolean")
 
 
 def classify(docs: DataFrame, labels: DataFrame, how: CoTraining = CoTraining()) -> DataFrame:
