@@ -11,6 +11,7 @@ from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("sparkbrook.llm")
 
@@ -347,6 +348,39 @@ def test_threshold_is_what_documents_kept_out_reach(spark):
         assert abs(r["llr"] - fixed[i]["llr"]) < 1e-9 and r["kept"] == (not r["base_failed"] and r["llr"] >= want - 1e-12)
 
 
+def late_trusted(spark):
+    """21,000 trusted documents; the 1,000 with the last hashes of ids, kept out of a target or not, use words of their own. Then 1,000 others."""
+    words = lambda w: f"array_join(transform(sequence(1, 24), j -> concat('{w}', j)), ' ')"
+    ranked = spark.range(21_000).selectExpr("id AS doc_id", "row_number() OVER (ORDER BY xxhash64(id), id) > 20000 AS late")
+    docs = ranked.selectExpr("doc_id", "late", f"CASE WHEN late THEN {words('late')} ELSE {words('soon')} END AS text")
+    return docs.unionByName(spark.range(21_000, 22_000).selectExpr("id AS doc_id", "false AS late", f"{words('other')} AS text"))
+
+
+def test_all_trusted_documents_shape_ratios_and_threshold(spark, monkeypatch):
+    docs = late_trusted(spark)
+    trusted = docs.filter("doc_id < 21000").select("doc_id")
+    for bound in (rules.BROADCAST_IDS, 100):
+        monkeypatch.setattr(rules, "BROADCAST_IDS", bound)
+        found = rules.judge(docs, trusted, rules.PAIRS).toPandas().set_index("doc_id")
+        assert len(found) == 22_000 and not found.base_failed.any()
+        out = np.array([zlib.crc32(str(i).encode()) % 4 == 3 for i in found.index]) & (found.index < 21_000)
+        how, kinds = rules.PAIRS, {"late": found.late, "soon": ~found.late & (found.index < 21_000), "other": found.index >= 21_000}
+        llr = {}
+        for kind, of in kinds.items():  # 24 words and 23 pairs each, no two of which share a cell
+            target, share = (of & ~out & (found.index < 21_000)).sum(), (~out & (found.index < 21_000)).sum() / 22_000
+            llr[kind] = np.log((target + how.prior) / (of.sum() * share + how.prior))
+            assert np.allclose(found.llr[of], llr[kind], rtol=0, atol=1e-6)
+        assert found.kept.sum() == 21_000 and found.kept[kinds["late"]].all()
+
+
+def test_percentile_of_all_values(spark):
+    rng = random.Random(17)
+    for values in ([], [0.5], [0.25] * 9, [-1.0, 2.0], [0.1, 0.1 + 2e-17, 0.30000000000000004, 0.3], [rng.choice([rng.gauss(0, 1), 0.5, 1e9]) for _ in range(3000)], [-(2.0**-i) for i in range(900)]):
+        frame = spark.createDataFrame([(v,) for v in [*values, None]], "llr double")
+        for share in (0, 0.005, 1 - 0.995, 0.3, 0.5, 1):
+            assert rules._percentile(frame, share) == frame.agg(F.percentile("llr", F.lit(share))).first()[0]
+
+
 def test_rules_separate_labelled_documents(spark):
     found = catalog.op7_likelihood_ratio_rules(spark, "/root/testdata/sf0.01").toPandas()
     both = found.merge(spark.read.parquet("/root/testdata/sf0.01/labels.parquet").toPandas(), on="doc_id")
