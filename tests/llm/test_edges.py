@@ -93,6 +93,16 @@ def test_stages_keep_columns_and_rows(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0, name
 
 
+def test_quality_rules_count_all_trusted_documents(spark, tmp_path):
+    words = lambda w: f"array_join(transform(sequence(1, 24), j -> concat('{w}', j)), ' ')"
+    ranked = spark.range(21_000).selectExpr("id AS doc_id", "row_number() OVER (ORDER BY xxhash64(id), id) > 20000 AS late")
+    docs = ranked.selectExpr("*", f"CASE WHEN late THEN {words('late')} ELSE {words('soon')} END AS text")
+    docs.selectExpr("doc_id", "1 AS quality").write.parquet(f"{tmp_path}/labels.parquet")
+    others = spark.range(21_000, 22_000).selectExpr("id AS doc_id", "false AS late", f"{words('other')} AS text")
+    found = corpus_pipeline.quality_rules(spark, docs.unionByName(others), str(tmp_path)).groupBy("late").count().collect()
+    assert {r["late"]: r["count"] for r in found} == {True: 1000, False: 20_000}
+
+
 def test_pipeline_stage_by_stage(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet").toPandas().set_index("doc_id").quality
