@@ -6,14 +6,13 @@ is the bundle (sum) of its n-grams, a language the bundle of its training docume
 a document gets the language whose prototype has the largest cosine with it.
 
 Bundling is linear, so a batch of documents is one matrix product: n-gram counts times
-n-gram vectors. The prototypes are ``languages x dimensions`` numbers whatever the size of
-the corpus; only they go to the workers.
+n-gram vectors. Every labelled document trains. The prototypes are ``languages x dimensions``
+numbers whatever the size of the corpus; only they go to the workers.
 
 Null text, text without a letter, and no trained language give ``und`` and 0; equal cosines
 give the first language by name; repeated rows are judged alike, and train as often as they
-are drawn by the hash of their id; texts of any length count whole, a group of texts at a
-time; an empty table gives an empty result. Columns of the input with the names of results
-are left out of the result.
+occur; texts of any length count whole, a group of texts at a time; an empty table gives an
+empty result. Columns of the input with the names of results are left out of the result.
 """
 
 from __future__ import annotations
@@ -37,12 +36,11 @@ _OPEN = 500
 
 @dataclass(frozen=True)
 class Profile:
-    """dimensions and n-gram length; training takes about ``per_language`` documents of each language."""
+    """Dimensions and n-gram length."""
 
     dimensions: int = 1024
     n: int = 3
     seed: int = 7
-    per_language: int = 1500
 
 
 def letters_only(text: str) -> str:
@@ -130,21 +128,12 @@ def _groups(texts: list[str]):
 
 
 def train_prototypes(labelled: DataFrame, profile: Profile = Profile()) -> tuple[list[str], np.ndarray]:
-    """Languages in order, and their unit prototypes, from the columns doc_id, text and lang.
+    """Languages in order, and their unit prototypes, from the columns text and lang.
 
-    The sample is bounded: a document takes part if a hash of its id is below its
-    language's quota over its language's count. Every document weighs the same, however
-    long. Workers bundle their own documents; their sums are added by dimension.
+    Every row with both takes part and weighs the same, however long. Workers bundle their
+    own documents; their sums are added by dimension.
     """
-    spark = labelled.sparkSession
-    usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = usable.groupBy("lang").count().collect()
-    if not counts:
-        return [], np.empty((0, profile.dimensions), np.float32)
-    names = sorted(r["lang"] for r in counts)
-    shares = spark.createDataFrame([(r["lang"], min(1.0, profile.per_language / r["count"])) for r in counts], "lang string, share double")
-    draw = F.pmod(F.xxhash64(F.lit(profile.seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = usable.join(F.broadcast(shares), "lang").filter(draw < F.col("share")).select("lang", "text")
+    usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
 
     def rows_of(sums):
         for lang, v in sums.items():
@@ -167,8 +156,9 @@ def train_prototypes(labelled: DataFrame, profile: Profile = Profile()) -> tuple
                     sums.clear()
         yield from rows_of(sums)
 
-    sums = sample.mapInArrow(returning(bundle), "lang string, d int, v long").groupBy("lang", "d").agg(F.sum("v").alias("v"))
+    sums = usable.mapInArrow(returning(bundle), "lang string, d int, v long").groupBy("lang", "d").agg(F.sum("v").alias("v"))
     sums = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("d", "v")))["v"].alias("v")).toArrow()
+    names = sorted(sums.column("lang").to_pylist())
     table, places = np.zeros((len(names), profile.dimensions), np.float32), {name: i for i, name in enumerate(names)}
     for batch in sums.to_batches():
         rows = batch.column("v").flatten().to_numpy().reshape(-1, profile.dimensions).astype(float)

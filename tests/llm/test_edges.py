@@ -103,6 +103,22 @@ def test_quality_rules_count_all_trusted_documents(spark, tmp_path):
     assert {r["late"]: r["count"] for r in found} == {True: 1000, False: 20_000}
 
 
+def test_language_id_learns_from_all_labelled_documents(spark):
+    # the half with the last hashes of ids writes its language in another script
+    late = "pmod(xxhash64(7, id), 1 << 30) >= 1 << 29"
+    docs = spark.range(4000).selectExpr("id AS doc_id", f"CASE WHEN {late} THEN 'всё это другие слова' ELSE 'all these are words' END AS text", "'xx' AS lang", f"{late} AS late")
+    kinds = {r["late"]: r["count"] for r in docs.groupBy("late").count().collect()}
+    assert min(kinds[True], kinds[False]) > 1900
+    found = corpus_pipeline.language_id(spark, docs, SF).groupBy("late").count().collect()
+    assert {r["late"]: r["count"] for r in found} == kinds
+    trained = docs.filter(~langid.held_out())
+    names, prototypes = langid.train_prototypes(trained.select("doc_id", "text", "lang"))
+    sums = [langid.Encoder(langid.Profile()).bundles([langid.letters_only(t)])[0] for t in ("всё это другие слова", "all these are words")]
+    n = trained.filter("late").count(), trained.filter("NOT late").count()
+    want = sum(k * v / (v @ v) ** 0.5 for k, v in zip(n, sums))
+    assert names == ["xx"] and abs(prototypes[0] - want / (want @ want) ** 0.5).max() < 1e-5
+
+
 def test_pipeline_stage_by_stage(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet").toPandas().set_index("doc_id").quality
